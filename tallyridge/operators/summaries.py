@@ -159,22 +159,23 @@ def time_bounds(trips: DataFrame, by=(), cols: TripColumns = TRIPS) -> DataFrame
         F.count(F.lit(1)).alias("rows"), F.min(cols.started_at).alias("first_start"), F.max(cols.started_at).alias("last_start"))
 
 
-def reconciliation(raw: DataFrame, kept: DataFrame, moved: DataFrame, part: str = "source_month", target: str = "target_month") -> DataFrame:
+def reconciliation(raw: DataFrame, kept: DataFrame, part: str = "source_month", target: str = "target_month") -> DataFrame:
     """raw + in - out = retained + removed, per partition.
 
-    ``moved`` holds the kept rows with the partition they came from (``part``) and the
-    one they end in (``target``); ``kept`` counts what each partition retains.
+    ``kept`` holds the surviving rows with the partition they came from and the one they
+    end in; it is read once and reduced to (from, to) counts.
     """
-    n = F.count(F.lit(1))
-    a = raw.groupBy(part).agg(n.alias("raw_rows"))
-    stay = kept.groupBy(F.col(target).alias(part)).agg(n.alias("retained_rows"))
-    hop = moved.where(F.col(part) != F.col(target))
-    out = hop.groupBy(part).agg(n.alias("moved_out"))
-    came = hop.groupBy(F.col(target).alias(part)).agg(n.alias("moved_in"))
-    survivors = moved.groupBy(part).agg(n.alias("survivors"))
-    zero = F.lit(0).cast("bigint")
-    joined = a.join(stay, part, "full").join(out, part, "full").join(came, part, "full").join(survivors, part, "full")
-    filled = joined.select(part, *[F.coalesce(c, zero).alias(c) for c in ("raw_rows", "retained_rows", "moved_in", "moved_out", "survivors")])
+    zero, n = F.lit(0).cast("bigint"), F.col("n")
+    hop = F.when(F.col(part) != F.col(target), n).otherwise(zero)
+    moves = kept.groupBy(part, target).agg(F.count(F.lit(1)).alias("n"))
+    sides = moves.select(F.explode(F.array(
+        F.struct(F.col(part).alias("p"), n.alias("survivors"), zero.alias("retained_rows"), hop.alias("moved_out"), zero.alias("moved_in")),
+        F.struct(F.col(target).alias("p"), zero.alias("survivors"), n.alias("retained_rows"), zero.alias("moved_out"), hop.alias("moved_in")),
+    )).alias("s")).select("s.*")
+    names = ("survivors", "retained_rows", "moved_out", "moved_in")
+    flow = sides.groupBy(F.col("p").alias(part)).agg(*[F.sum(c).alias(c) for c in names])
+    filled = raw.groupBy(part).agg(F.count(F.lit(1)).alias("raw_rows")).join(flow, part, "full").select(
+        part, *[F.coalesce(c, zero).alias(c) for c in ("raw_rows", *names)])
     removed = F.col("raw_rows") - F.col("survivors")
     return filled.select(
         part, "raw_rows", "moved_in", "moved_out", "retained_rows", removed.alias("removed_rows"),
