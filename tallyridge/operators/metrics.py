@@ -132,7 +132,8 @@ def error_counts(preds: DataFrame, cols: PredictionColumns = PREDICTIONS) -> Dat
 
 
 def missing_bins(n: Column) -> Column:
-    return F.when(n == 0, "0").when(n <= 2, "1-2").otherwise("3+")
+    """Fixed bins for the number of empty fields in a row."""
+    return F.when(n <= 2, "0-2").when(n <= 4, "3-4").otherwise("5+")
 
 
 def errors_by_level(rows: DataFrame, level: Column, cols: PredictionColumns = PREDICTIONS) -> DataFrame:
