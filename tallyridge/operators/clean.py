@@ -37,7 +37,7 @@ def clean_trips(raw: DataFrame, month: Column, area: Column) -> DataFrame:
         numeric.try_double(c("reported_duration_seconds")).alias("reported_duration_seconds"),
         is_blank(c("started_at")).alias("missing_started_at"),
         is_blank(c("ended_at")).alias("missing_ended_at"),
-        *[c(x) for x in raw.columns if x not in CANONICAL_TRIP_COLUMNS],
+        *[c(x) for x in raw.columns if x not in (*CANONICAL_TRIP_COLUMNS, "source_month", "area")],
         month.alias("source_month"), area.alias("area"),
     )
     return with_trip_flags(typed, c("source_month"))
