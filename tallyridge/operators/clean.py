@@ -173,14 +173,14 @@ def effect_report(before: DataFrame, after: DataFrame, key: str, categories, mea
 
     def facts(df: DataFrame, tag: str) -> DataFrame:
         content = [c for c in df.columns if c != key]
-        groups = df.groupBy(*content).agg(F.count(F.lit(1)).alias("n"))
+        groups = df.groupBy(*content).agg(F.count(F.lit(1)).alias("__n"))
         nulls = numeric.add([F.col(c).isNull().cast("int") for c in content])
         unknowns = numeric.add([F.coalesce((F.col(c) == unknown).cast("int"), F.lit(0)) for c in categories])
         one = groups.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeated_rows"),
-            F.coalesce(F.sum(nulls * F.col("n")), F.lit(0)).alias("empty_cells"),
-            F.coalesce(F.sum(unknowns * F.col("n")), F.lit(0)).alias("explicit_unknown"))
+            F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("repeated_rows"),
+            F.coalesce(F.sum(nulls * F.col("__n")), F.lit(0)).alias("empty_cells"),
+            F.coalesce(F.sum(unknowns * F.col("__n")), F.lit(0)).alias("explicit_unknown"))
         return melt(one, [], one.columns, "check", tag, cast="bigint")
 
     pairs = after.join(before.select(key, *[F.col(m).alias(f"__b_{m}") for m in measures]), key)

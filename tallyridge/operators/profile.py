@@ -92,13 +92,14 @@ def sparse_columns(df: DataFrame, columns, label: str, positive: str, limit: flo
 
 def label_conflicts(df: DataFrame, inputs, label: str) -> DataFrame:
     """Input combinations (nulls equal) that carry more than one label."""
-    groups = df.groupBy(*inputs).agg(F.min(label).alias("a"), F.max(label).alias("b"), rows_n())
-    return groups.agg(F.count_if(F.col("a") != F.col("b")).alias("conflicting_inputs"),
-                      F.coalesce(F.sum(F.when(F.col("a") != F.col("b"), F.col("n"))), F.lit(0)).alias("rows"))
+    groups = df.groupBy(*inputs).agg((F.min(label) != F.max(label)).alias("__clash"), rows_n("__n"))
+    clash = F.coalesce(F.col("__clash"), F.lit(False))
+    return groups.agg(F.count_if(clash).alias("conflicting_inputs"),
+                      F.coalesce(F.sum(F.when(clash, F.col("__n"))), F.lit(0)).alias("rows"))
 
 
 def duplicate_profile(df: DataFrame, content, label: str) -> DataFrame:
-    return df.groupBy(*content).agg(rows_n()).groupBy(label).agg(F.sum(F.col("n") - 1).alias("repeated_rows"))
+    return df.groupBy(*content).agg(rows_n("__n")).groupBy(label).agg(F.sum(F.col("__n") - 1).alias("repeated_rows"))
 
 
 def combination_counts(df: DataFrame, columns) -> DataFrame:

@@ -134,13 +134,13 @@ def chi_square(cells: DataFrame, by, row: str, col: str, n: str = "n") -> DataFr
     continuity correction. Absent cells need no row: they only enter through the margins.
     """
     by = list(by)
-    full = cells.groupBy(*by, row, col).agg(F.sum(n).alias("o"))
-    r = full.groupBy(*by, row).agg(F.sum("o").alias("r"))
-    c = full.groupBy(*by, col).agg(F.sum("o").alias("c"))
-    rs = r.groupBy(*by).agg(F.sum("r").alias("total"), F.count(F.lit(1)).alias("rows"), F.min("r").alias("rmin"), F.sum(1 / F.col("r")).alias("rinv"))
-    cs = c.groupBy(*by).agg(F.count(F.lit(1)).alias("cols"), F.min("c").alias("cmin"), F.sum(1 / F.col("c")).alias("cinv"))
-    terms = full.join(r, [*by, row]).join(c, [*by, col]).join(rs.select(*by, "total"), by)
-    expected = F.col("r") * F.col("c") / F.col("total")
+    full = cells.groupBy(*by, F.col(row).alias("__row"), F.col(col).alias("__col")).agg(F.sum(n).alias("o"))
+    r = full.groupBy(*by, "__row").agg(F.sum("o").alias("rsum"))
+    c = full.groupBy(*by, "__col").agg(F.sum("o").alias("csum"))
+    rs = r.groupBy(*by).agg(F.sum("rsum").alias("total"), F.count(F.lit(1)).alias("rows"), F.min("rsum").alias("rmin"), F.sum(1 / F.col("rsum")).alias("rinv"))
+    cs = c.groupBy(*by).agg(F.count(F.lit(1)).alias("cols"), F.min("csum").alias("cmin"), F.sum(1 / F.col("csum")).alias("cinv"))
+    terms = full.join(r, [*by, "__row"]).join(c, [*by, "__col"]).join(rs.select(*by, "total"), by)
+    expected = F.col("rsum") * F.col("csum") / F.col("total")
     sums = terms.groupBy(*by).agg(F.sum(F.col("o") * F.col("o") / expected).alias("q"), F.max(F.abs(F.col("o") - expected)).alias("d"))
     df = (F.col("rows") - 1) * (F.col("cols") - 1)
     d = F.col("d") - F.least(F.lit(0.5), F.col("d"))
