@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyridge.functions import clock
-from tallyridge.functions.hashing import hash_mod
 from tallyridge.session import prepare_session
 
 TRIP_FIELDS = (
@@ -134,35 +133,31 @@ class Views:
 
     @cached_property
     def base_trips(self) -> DataFrame:
-        e = F.col("event_id")
-        u = F.col("user_id")
-        step = F.when(e % 211 == 0, 30).when(e % 223 == 0, -1).otherwise(1)
-        length = F.round(F.col("value") * 100).cast("bigint") * 600_000 * step
-        end_no = ((u * 7 + e) % 50).cast("string")
-        start_no = (u % 50).cast("string")
-        late = F.when(e % 37 == 0, "2023-12").otherwise("2024-01")
-        return self.table("events").select(
-            e,
-            F.when(e % 13 != 0, e.cast("string")).alias("ride_id"),
-            F.when(e % 3 == 0, "electric_bike").when(e % 3 == 1, "classic_bike").otherwise("unknown").alias("rideable_type"),
-            F.col("ts").alias("started_at"),
-            F.when(e % 41 != 0, clock.from_micros(clock.micros(F.col("ts")) + length)).alias("ended_at"),
-            F.when(e % 17 != 0, F.concat(F.lit("S"), start_no)).alias("start_station_id"),
-            F.when(e % 17 != 0, F.concat(F.when(e % 31 == 0, "STOP ").otherwise("Stop "), start_no)).alias("start_station_name"),
-            F.when(e % 19 != 0, F.concat(F.lit("S"), end_no)).alias("end_station_id"),
-            F.when(e % 19 != 0, F.concat(F.lit("Stop "), end_no)).alias("end_station_name"),
-            F.when(u % 29 == 0, 200.0).otherwise(40 + (u % 200) / 100.0).alias("start_lat"),
-            F.when(e % 23 != 0, -74 + (u % 100) / 200.0).alias("start_lng"),
-            F.when(e % 19 != 0, 40.5 + (u % 7) / 10.0).alias("end_lat"),
-            (-74 + (e % 100) / 200.0).alias("end_lng"),
-            F.when(F.col("event_type").isin("click", "view"), "member")
-             .when(F.col("event_type").isin("purchase", "signup"), "casual").otherwise("unknown").alias("member_casual"),
-            F.when(e % 4 == 0, u.cast("string")).alias("bike_id"),
-            F.when(e % 4 == 0, F.col("value") * 60 + (e % 5)).alias("reported_duration_seconds"),
-            F.lit(False).alias("missing_started_at"),
-            (e % 82 == 0).alias("missing_ended_at"),
-            late.alias("source_month"),
-            F.concat(F.lit("p/"), late).alias("filename"),
+        length = "cast(round(value * 100) AS bigint) * 600000 * CASE WHEN event_id % 211 = 0 THEN 30 WHEN event_id % 223 = 0 THEN -1 ELSE 1 END"
+        end_no = "cast((user_id * 7 + event_id) % 50 AS string)"
+        start_no = "cast(user_id % 50 AS string)"
+        return self.table("events").selectExpr(
+            "event_id",
+            "CASE WHEN event_id % 13 <> 0 THEN cast(event_id AS string) END AS ride_id",
+            "CASE event_id % 3 WHEN 0 THEN 'electric_bike' WHEN 1 THEN 'classic_bike' ELSE 'unknown' END AS rideable_type",
+            "ts AS started_at",
+            f"CASE WHEN event_id % 41 <> 0 THEN cast(timestamp_micros(unix_micros(cast(ts AS timestamp)) + {length}) AS timestamp_ntz) END AS ended_at",
+            f"CASE WHEN event_id % 17 <> 0 THEN concat('S', {start_no}) END AS start_station_id",
+            f"CASE WHEN event_id % 17 <> 0 THEN concat(CASE WHEN event_id % 31 = 0 THEN 'STOP ' ELSE 'Stop ' END, {start_no}) END AS start_station_name",
+            f"CASE WHEN event_id % 19 <> 0 THEN concat('S', {end_no}) END AS end_station_id",
+            f"CASE WHEN event_id % 19 <> 0 THEN concat('Stop ', {end_no}) END AS end_station_name",
+            "CASE WHEN user_id % 29 = 0 THEN 200D ELSE 40 + (user_id % 200) / 100D END AS start_lat",
+            "CASE WHEN event_id % 23 <> 0 THEN -74 + (user_id % 100) / 200D END AS start_lng",
+            "CASE WHEN event_id % 19 <> 0 THEN 40.5D + (user_id % 7) / 10D END AS end_lat",
+            "-74 + (event_id % 100) / 200D AS end_lng",
+            "CASE WHEN event_type IN ('click', 'view') THEN 'member' WHEN event_type IN ('purchase', 'signup') THEN 'casual' ELSE 'unknown' END AS member_casual",
+            "CASE WHEN event_id % 4 = 0 THEN cast(user_id AS string) END AS bike_id",
+            "CASE WHEN event_id % 4 = 0 THEN value * 60 + (event_id % 5) END AS reported_duration_seconds",
+            "false AS missing_started_at",
+            "event_id % 82 = 0 AS missing_ended_at",
+            "CASE WHEN event_id % 37 = 0 THEN '2023-12' ELSE '2024-01' END AS source_month",
+            "CASE WHEN event_id % 37 = 0 THEN 'p/2023-12' ELSE 'p/2024-01' END AS filename",
+            "'NYC' AS area",
         )
 
     @cached_property
@@ -189,24 +184,25 @@ class Views:
     def trips(self) -> DataFrame:
         from tallyridge.operators.clean import with_trip_flags
 
-        return with_trip_flags(self.base_trips.withColumn("area", F.lit("NYC")), F.col("source_month"))
+        return with_trip_flags(self.base_trips, F.col("source_month"))
 
     @cached_property
     def trips_dup(self) -> DataFrame:
+        """Every row (v = 0), exact copies (1), conflicting copies (2), whole-second copies (3)."""
         from tallyridge.operators.clean import with_trip_flags
 
-        base, e = self.base_trips, F.col("event_id")
-        again = {"source_month": F.lit("2024-02"), "filename": F.lit("p/2024-02")}
-        copies = base.where(e % 10 == 0).withColumns(again)
-        clashes = base.where(e % 97 == 0).withColumns(
-            {**again, "ended_at": F.col("ended_at") + F.expr("INTERVAL 1 MINUTE")})
-        aliases = base.where(e % 53 == 0).withColumns({
-            "source_month": F.lit("2023-12"), "filename": F.lit("p/2023-12"),
-            "started_at": clock.trunc("second", F.col("started_at")),
-            "ended_at": clock.trunc("second", F.col("ended_at")),
-        })
-        rows = base.unionByName(copies).unionByName(clashes).unionByName(aliases)
-        return with_trip_flags(rows.withColumn("area", F.lit("NYC")), F.col("source_month"))
+        versions = ("explode(filter(array(0, 1, 2, 3), v -> v = 0 OR v = 1 AND event_id % 10 = 0 "
+                    "OR v = 2 AND event_id % 97 = 0 OR v = 3 AND event_id % 53 = 0)) AS v")
+        month = "CASE WHEN v IN (1, 2) THEN '2024-02' WHEN v = 3 THEN '2023-12' ELSE source_month END"
+        changed = {
+            "started_at": "CASE WHEN v = 3 THEN cast(date_trunc('second', started_at) AS timestamp_ntz) ELSE started_at END AS started_at",
+            "ended_at": "CASE WHEN v = 3 THEN cast(date_trunc('second', ended_at) AS timestamp_ntz) WHEN v = 2 THEN ended_at + INTERVAL 1 MINUTE ELSE ended_at END AS ended_at",
+            "source_month": f"{month} AS source_month",
+            "filename": f"concat('p/', {month}) AS filename",
+        }
+        base = self.base_trips
+        rows = base.selectExpr("*", versions).selectExpr(*[changed.get(c, c) for c in base.columns])
+        return with_trip_flags(rows, F.col("source_month"))
 
     @cached_property
     def dst_trips(self) -> DataFrame:
@@ -244,45 +240,39 @@ class Views:
 
     @cached_property
     def base_items(self) -> DataFrame:
-        k = F.col("p_partkey")
-        return self.table("part").select(
-            k,
-            F.when(hash_mod(100, k, "label") < 20 + F.col("p_size"), "p").otherwise("e").alias("label"),
-            F.when(k % 13 == 0, 0).otherwise(F.col("p_size")).cast("double").alias("cap_diameter"),
-            F.round(F.col("p_retailprice") - 900, 2).alias("stem_height"),
-            ((k % 17) - F.when(k % 101 == 0, 1).otherwise(0)).cast("double").alias("stem_width"),
-            F.when(k % 7 != 0, F.col("p_brand")).alias("brand"),
-            F.when(k % 11 != 0, F.col("p_type")).alias("kind"),
-            F.when(k % 7 == 0, F.split_part(F.col("p_name"), F.lit(" "), F.lit(1))).alias("color"),
-            F.when(k % 2 == 0, "t").otherwise("f").alias("has_ring"),
-            F.when(k % 5 == 0, "f").otherwise("x").alias("ring_type"),
-            F.lit("only").alias("veil"),
+        draw = "cast(conv(substr(md5(concat_ws('|', cast(p_partkey AS string), 'label')), 1, 8), 16, 10) AS bigint)"
+        return self.table("part").selectExpr(
+            "p_partkey",
+            f"CASE WHEN {draw} % 100 < 20 + p_size THEN 'p' ELSE 'e' END AS label",
+            "cast(CASE WHEN p_partkey % 13 = 0 THEN 0 ELSE p_size END AS double) AS cap_diameter",
+            "round(p_retailprice - 900, 2) AS stem_height",
+            "cast((p_partkey % 17) - CASE WHEN p_partkey % 101 = 0 THEN 1 ELSE 0 END AS double) AS stem_width",
+            "CASE WHEN p_partkey % 7 <> 0 THEN p_brand END AS brand",
+            "CASE WHEN p_partkey % 11 <> 0 THEN p_type END AS kind",
+            "CASE WHEN p_partkey % 7 = 0 THEN split_part(p_name, ' ', 1) END AS color",
+            "CASE WHEN p_partkey % 2 = 0 THEN 't' ELSE 'f' END AS has_ring",
+            "CASE WHEN p_partkey % 5 = 0 THEN 'f' ELSE 'x' END AS ring_type",
+            "'only' AS veil",
         )
 
     @cached_property
     def items(self) -> DataFrame:
-        base, k = self.base_items, F.col("p_partkey")
-        first = base.withColumn("row_id", k * 2)
-        flipped = F.when(k % 45 == 0, F.when(F.col("label") == "p", "e").otherwise("p")).otherwise(F.col("label"))
-        again = base.where(k % 9 == 0).withColumns({"row_id": k * 2 + 1, "label": flipped})
-        return first.unionByName(again).drop("p_partkey")
+        """Every part once, and a second time (sometimes with the other label) for each ninth."""
+        base = self.base_items
+        copies = "explode(CASE WHEN p_partkey % 9 = 0 THEN array(0, 1) ELSE array(0) END) AS v"
+        label = "CASE WHEN v = 1 AND p_partkey % 45 = 0 THEN CASE label WHEN 'p' THEN 'e' ELSE 'p' END ELSE label END AS label"
+        rest = [c for c in base.columns if c not in ("p_partkey", "label")]
+        return base.selectExpr("*", copies).selectExpr(label, *rest, "p_partkey * 2 + v AS row_id")
 
     @cached_property
     def preds(self) -> DataFrame:
-        weights = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(w).alias("w"))
-                                      for m, w in zip(MODELS, (6, 7, 8))])).alias("m")
-        o = self.table("orders").select("o_orderkey", "o_orderpriority",
-                                        (F.col("o_orderstatus") == "F").cast("int").alias("true_class"), weights)
-        w = F.col("m.w")
-        raw = hash_mod(1000, F.col("o_orderkey"), F.col("m.model")) * w + F.when(F.col("true_class") == 1, (10 - w) * 1000).otherwise(0)
-        return o.select(
-            F.col("o_orderkey").alias("source_row"),
-            (F.col("o_orderkey") % 5 + 1).cast("int").alias("fold"),
-            "true_class", F.col("m.model").alias("model"),
-            (F.floor(raw / 10) / 1000.0).alias("probability_p"),
-            F.lit(0.5).alias("threshold"),
-            F.col("o_orderpriority").alias("grp"),
-        ).withColumn("prediction", (F.col("probability_p") > 0.5).cast("int"))
+        models = "explode(array(named_struct('model', 'rf', 'w', 6), named_struct('model', 'gb', 'w', 7), named_struct('model', 'lr', 'w', 8))) AS m"
+        draw = "cast(conv(substr(md5(concat_ws('|', cast(o_orderkey AS string), m.model)), 1, 8), 16, 10) AS bigint) % 1000"
+        score = f"(({draw}) * m.w + CASE WHEN o_orderstatus = 'F' THEN (10 - m.w) * 1000 ELSE 0 END) div 10 / 1000D"
+        rows = self.table("orders").selectExpr("o_orderkey", "o_orderpriority", "o_orderstatus", models).selectExpr(
+            "o_orderkey AS source_row", "cast(o_orderkey % 5 + 1 AS int) AS fold", "cast(o_orderstatus = 'F' AS int) AS true_class",
+            "m.model AS model", f"{score} AS probability_p", "0.5D AS threshold", "o_orderpriority AS grp")
+        return rows.selectExpr("*", "cast(probability_p > 0.5D AS int) AS prediction")
 
     @cached_property
     def labelled(self) -> DataFrame:

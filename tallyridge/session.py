@@ -12,6 +12,8 @@ _RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
+# Recording a Python call site for every column expression slows down plan building.
+_STARTUP = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def build_session(app_name: str = "tallyridge", master: str | None = None, **conf: str) -> SparkSession:
@@ -19,7 +21,7 @@ def build_session(app_name: str = "tallyridge", master: str | None = None, **con
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**_RUNTIME, **conf}.items():
+    for key, value in {**_RUNTIME, **_STARTUP, **conf}.items():
         builder = builder.config(key, value)
     return prepare_session(builder.getOrCreate())
 
