@@ -18,7 +18,7 @@ def hash_mod(modulus: int | Column, *parts) -> Column:
     return F.pmod(head, modulus if isinstance(modulus, Column) else F.lit(modulus))
 
 
-def hash_bucket(key: Column, digits: int = 3) -> Column:
+def hash_bucket(key: Column, digits: int = 4) -> Column:
     """Leading hex digits of an md5 key: equal-sized, order-preserving buckets."""
     return F.substring(key, 1, digits)
 

@@ -202,7 +202,9 @@ def segment_normalised(df: DataFrame, alias_ids: DataFrame, cols: TripColumns =
         for end, name, lat, lng in ((cols.start_station, cols.start_name, cols.start_lat, cols.start_lng),
                                     (cols.end_station, cols.end_name, cols.end_lat, cols.end_lng))
     }
-    marked = df.join(alias_ids.select(c(cols.ride_id), F.lit(True).alias("__alias")), cols.ride_id, "left")
+    flags = alias_ids.select(c(cols.ride_id), F.lit(True).alias("__alias"))
+    keyed = df.where(c(cols.ride_id).isNotNull()).join(flags, cols.ride_id, "left")
+    marked = keyed.unionByName(df.where(c(cols.ride_id).isNull()), allowMissingColumns=True)
     alias = F.coalesce(c("__alias"), F.lit(False))
     start, end = clock.trunc("second", c(cols.started_at)), clock.trunc("second", c(cols.ended_at))
     return marked.withColumns({

@@ -17,14 +17,18 @@ from tallyridge.operators.clean import segment_normalised
 CONTENT = (*CANONICAL_TRIP_COLUMNS, TRIPS.duration, TRIPS.area)
 
 
+def first_by_key(df: DataFrame, key: str, order, columns) -> DataFrame:
+    """Smallest row per key by ``order``, then by content; the key must not be null."""
+    order = [o if isinstance(o, Column) else F.col(o) for o in order]
+    packed = df.select(F.col(key).alias("__key"), F.struct(
+        *[o.alias(f"o{i}") for i, o in enumerate(order)], F.struct(*columns).alias("row")).alias("__pick"))
+    return packed.groupBy("__key").agg(F.min("__pick").alias("p")).select("p.row.*")
+
+
 def keep_first(df: DataFrame, key: str, order, columns=None) -> DataFrame:
-    """One row per non-null key (smallest by ``order``, then by content); null keys all stay."""
+    """One row per non-null key; rows with a null key all stay."""
     columns = list(columns or df.columns)
-    order = [o if isinstance(o, Column) else F.col(o) for o in order]
-    keyed = df.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("__key"),
-        F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.struct(*columns).alias("row")).alias("__pick"))
-    best = keyed.groupBy("__key").agg(F.min("__pick").alias("p")).select("p.row.*")
+    best = first_by_key(df.where(F.col(key).isNotNull()), key, order, columns)
     return df.where(F.col(key).isNull()).select(*columns).unionByName(best)
 
 
@@ -73,13 +77,17 @@ def time_alias_ids(df: DataFrame, cols: TripColumns = TRIPS) -> DataFrame:
 
 
 def preferred_version(df: DataFrame, alias_ids: DataFrame, cols: TripColumns = TRIPS) -> DataFrame:
-    """One row per id: sub-second version first (for alias ids), then valid, then by file."""
+    """One row per id: sub-second version first (for alias ids), then valid, then by file.
+
+    Rows without id are no part of the result; they never enter the id join.
+    """
     s, e = F.col(cols.started_at), F.col(cols.ended_at)
-    marked = df.join(alias_ids.select(F.col(cols.ride_id), F.lit(True).alias("__alias")), cols.ride_id, "left")
+    keyed = df.where(F.col(cols.ride_id).isNotNull())
+    marked = keyed.join(alias_ids.select(F.col(cols.ride_id), F.lit(True).alias("__alias")), cols.ride_id, "left")
     finer = F.coalesce(F.col("__alias"), F.lit(False)) & F.coalesce(
         (s != clock.trunc("second", s)) | (e != clock.trunc("second", e)), F.lit(False))
     order = [F.when(finer, 0).otherwise(1), F.when(F.col(cols.valid_demand), 0).otherwise(1), F.col(cols.file)]
-    return keep_first(marked, cols.ride_id, order, df.columns)
+    return first_by_key(marked, cols.ride_id, order, df.columns)
 
 
 def signed_counts(left: DataFrame, right: DataFrame, columns) -> DataFrame:
@@ -152,17 +160,20 @@ def align_months(df: DataFrame, cols: TripColumns = TRIPS, alias_precision: bool
     present, else it stays flagged where it was. Validity is recomputed.
     """
     aliases = time_alias_ids(df, cols) if alias_precision else df.select(cols.ride_id).where("false")
-    kept = preferred_version(df, aliases, cols)
-    proven = segment_containment(df, cols=cols).where("proven_copy").select(cols.file, "natural_month", F.lit(True).alias("__copy"))
-    months = df.select(F.col("source_month").alias("natural_month")).distinct().withColumn("__present", F.lit(True))
     natural = F.date_format(cols.started_at, "yyyy-MM")
-    rows = kept.withColumn("natural_month", natural).join(proven, [cols.file, "natural_month"], "left").join(
-        months, "natural_month", "left")
-    gone = F.col(cols.ride_id).isNull() & ~F.col(cols.valid_demand) & F.coalesce("__copy", F.lit(False))
-    target = F.when(F.col("__present"), F.col("natural_month")).otherwise(F.col("source_month"))
-    in_month = F.coalesce(F.col("natural_month") == F.col("target_month"), F.lit(False))
+    proven = segment_containment(df, cols=cols).where("proven_copy").select(cols.file, "natural_month")
+    # Only off-month rows without id can be such copies; all others skip this join.
+    anonymous = df.where(F.col(cols.ride_id).isNull())
+    off_month = F.col(cols.started_at).isNotNull() & ~F.col(cols.valid_demand)
+    moved = anonymous.where(off_month).withColumn("natural_month", natural).join(
+        proven, [cols.file, "natural_month"], "left_anti").drop("natural_month")
+    rows = union_all(preferred_version(df, aliases, cols), anonymous.where(~off_month), moved.select(*df.columns))
+    # One entry per calendar month of the sources.
+    present = df.agg(F.collect_set("source_month")).scalar()
+    target = F.when(F.array_contains(present, natural), natural).otherwise(F.col("source_month"))
+    in_month = F.coalesce(natural == F.col("target_month"), F.lit(False))
     return (
-        rows.where(~gone).withColumn("target_month", target)
+        rows.withColumn("target_month", target)
         .withColumn(cols.valid_demand, in_month)
         .withColumn(cols.valid_duration, F.coalesce(F.col(cols.valid_demand) & (F.col(cols.duration) > 0), F.lit(False)))
         .select(*df.columns, "target_month")

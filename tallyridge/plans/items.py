@@ -285,10 +285,10 @@ def _(v):
 
 
 @query("feat_native_category_levels", f"""
-WITH {TRAIN_SQL}, t AS (SELECT * FROM holed WHERE in_train AND row_id % 3 = 0 AND brand <> 'Brand#7')
+WITH {TRAIN_SQL}, t AS (SELECT * FROM holed WHERE in_train AND brand <> 'Brand#7')
 SELECT row_id, CASE WHEN brand IN (SELECT brand FROM t) THEN brand END AS brand, CASE WHEN color IN (SELECT color FROM t) THEN color END AS color FROM items""")
 def _(v):
-    train = holed(v).where("in_train AND row_id % 3 = 0 AND brand <> 'Brand#7'")
+    train = holed(v).where("in_train AND brand <> 'Brand#7'")
     return E.training_levels(v.items, train, ["brand", "color"]).select("row_id", "brand", "color")
 
 

@@ -340,13 +340,13 @@ def _(v):
 
 
 @query("stat_mcnemar_exact", """
-WITH w AS (SELECT a.model AS other, s.prediction = s.true_class AS sc, a.prediction = a.true_class AS oc FROM preds s JOIN preds a ON a.source_row = s.source_row AND s.model = 'rf' AND a.model <> 'rf' WHERE s.fold = 1),
+WITH w AS (SELECT a.model AS other, s.prediction = s.true_class AS sc, a.prediction = a.true_class AS oc FROM preds s JOIN preds a ON a.source_row = s.source_row AND s.model = 'rf' AND a.model <> 'rf'),
  n AS (SELECT other, count_if(sc AND NOT oc)::BIGINT AS b, count_if(oc AND NOT sc)::BIGINT AS c FROM w GROUP BY 1),
  t AS (SELECT other, b, c, sum(exp(lgamma(b + c + 1) - lgamma(i + 1) - lgamma(b + c - i + 1) - (b + c) * ln(2))) AS tail
    FROM (SELECT *, unnest(generate_series(0, least(b, c))) AS i FROM n) GROUP BY ALL)
 SELECT 'rf' AS selected, other, b AS only_selected_correct, c AS only_other_correct, round(CASE WHEN b = c THEN 1.0 ELSE least(1.0, 2 * tail) END, 6) AS p_value FROM t""")
 def _(v):
-    pairs = M.discordant(v.preds.where("fold = 1"), "rf", ["gb", "lr"])
+    pairs = M.discordant(v.preds, "rf", ["gb", "lr"])
     return T.mcnemar_exact(pairs, ["selected", "other"], "only_selected_correct", "only_other_correct")
 
 

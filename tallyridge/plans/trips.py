@@ -431,7 +431,7 @@ WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.filename = s.filename AND g.ride_
   AND NOT EXISTS (SELECT 1 FROM proof p WHERE p.unmatched_rows = 0 AND p.filename = s.filename AND p.natural_month = s.natural_month AND s.ride_id IS NULL)""")
 def _(v):
     rows = v.trips_dup
-    best = D.preferred_version(rows.where("ride_id IS NOT NULL"), D.time_alias_ids(rows))
+    best = D.preferred_version(rows, D.time_alias_ids(rows))
     key = ["filename", "ride_id"]
     surplus = D.signed_counts(rows.where("ride_id IS NOT NULL"), best, key).where("surplus > 0")
     proven = D.segment_containment(rows).where("proven_copy")
@@ -451,7 +451,7 @@ def _(v):
 WITH {PREFER_SQL} SELECT ride_id, filename, valid_demand, started_at FROM ranked WHERE rn = 1""")
 def _(v):
     rows = v.trips_dup
-    best = D.preferred_version(rows.where("ride_id IS NOT NULL"), D.time_alias_ids(rows))
+    best = D.preferred_version(rows, D.time_alias_ids(rows))
     return best.select("ride_id", "filename", "valid_demand", "started_at")
 
 

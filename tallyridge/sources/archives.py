@@ -288,6 +288,9 @@ def representation_faults(df: DataFrame, version: str, content, keys=("area", "p
 
 
 def keep_one_version(df: DataFrame, version: str, keys=("area", "period")) -> DataFrame:
-    """Rows of the first version of each work item."""
+    """Rows of the first version of each work item.
+
+    The broadcast side has one row per (area, calendar month), whatever the row count.
+    """
     first = df.groupBy(*keys).agg(F.min(version).alias(version))
-    return df.join(first, [*keys, version], "left_semi")
+    return df.join(F.broadcast(first), [*keys, version], "left_semi")
