@@ -30,35 +30,45 @@ def present_months(hours: DataFrame, cols: SeriesColumns = SERIES) -> DataFrame:
 
 
 def calendar_fill(hours: DataFrame, cols: SeriesColumns = SERIES) -> DataFrame:
-    """Zero-fill inside the months that are present; absent months stay absent."""
-    last = F.col("month") + F.expr("INTERVAL 1 MONTH") - F.expr("INTERVAL 1 HOUR")
-    grid = present_months(hours, cols).select(
-        cols.area, F.explode(F.sequence(F.col("month"), last, F.expr("INTERVAL 1 HOUR"))).alias(cols.timestamp))
-    return grid.join(hours, [cols.area, cols.timestamp], "left").select(
-        cols.area, cols.timestamp, F.coalesce(F.col(cols.value), F.lit(0).cast("bigint")).alias(cols.value))
+    """Zero-fill inside the months that are present; absent months stay absent.
+
+    Each hour stretches to the label before the next one of its month (the first one also
+    back to the start of the month), so the counts are read once and nothing is joined.
+    """
+    ts, month, hour = F.col(cols.timestamp), F.col("__month"), F.expr("INTERVAL 1 HOUR")
+    rows = hours.withColumn("__month", clock.trunc("month", ts))
+    w = Window.partitionBy(cols.area, "__month").orderBy(cols.timestamp)
+    start = F.when(F.lag(ts).over(w).isNull(), month).otherwise(ts)
+    stop = F.coalesce(F.lead(ts).over(w), month + F.expr("INTERVAL 1 MONTH")) - hour
+    bounded = rows.select(cols.area, ts.alias("__at"), cols.value, start.alias("__from"), stop.alias("__to"))
+    spread = bounded.select("*", F.explode(F.sequence("__from", "__to", hour)).alias(cols.timestamp))
+    zero = F.lit(0).cast(hours.schema[cols.value].dataType)
+    return spread.select(cols.area, cols.timestamp, F.when(ts == F.col("__at"), F.col(cols.value)).otherwise(zero).alias(cols.value))
 
 
 def fill_days(counts: DataFrame, day: str, value: str) -> DataFrame:
     """One row per calendar day between the first and the last, zero where absent."""
-    grid = counts.agg(F.min(day).alias("a"), F.max(day).alias("b")).select(
-        F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias(day))
-    return grid.join(counts, day, "left").select(day, F.coalesce(F.col(value), F.lit(0).cast("bigint")).alias(value))
+    one = F.expr("INTERVAL 1 DAY")
+    w = Window.partitionBy(F.lit(1)).orderBy(day)
+    stop = F.coalesce(F.lead(day).over(w) - one, F.col(day))
+    bounded = counts.select(F.col(day).alias("__at"), value, stop.alias("__to"))
+    spread = bounded.select("*", F.explode(F.sequence("__at", "__to", one)).alias(day))
+    zero = F.lit(0).cast(counts.schema[value].dataType)
+    return spread.select(day, F.when(F.col(day) == F.col("__at"), F.col(value)).otherwise(zero).alias(value))
 
 
 def month_coverage(months: DataFrame, area: str = "area", month: str = "month") -> DataFrame:
-    """First and last month per area and the months missing in between."""
-    span = months.groupBy(area).agg(F.min(month).alias("first_month"), F.max(month).alias("last_month"))
-    full = span.select("*", F.explode(F.sequence("first_month", "last_month", F.expr("INTERVAL 1 MONTH"))).alias(month))
-    missing = full.join(months, [area, month], "left_anti")
-    return (
-        span.join(missing.groupBy(area).agg(
-            F.count(F.lit(1)).alias("missing_count"),
-            F.array_join(F.sort_array(F.collect_set(F.date_format(month, "yyyy-MM"))), ",").alias("missing_months")), area, "left")
-        .select(area, F.date_format("first_month", "yyyy-MM").alias("first_month"),
-                F.date_format("last_month", "yyyy-MM").alias("last_month"),
-                F.coalesce("missing_count", F.lit(0).cast("bigint")).alias("missing_count"),
-                F.coalesce("missing_months", F.lit("")).alias("missing_months"))
-    )
+    """First and last month per area and the months missing in between (one row per month comes in)."""
+    one = F.expr("INTERVAL 1 MONTH")
+    m = F.col(month)
+    after = F.lead(m).over(Window.partitionBy(area).orderBy(month))
+    gap = F.when(after > m + one, F.sequence(m + one, after - one, one)).otherwise(F.array().cast("array<timestamp_ntz>"))
+    rows = months.select(area, month, F.transform(gap, lambda g: F.date_format(g, "yyyy-MM")).alias("gap"))
+    # At most one entry per calendar month ends in the list.
+    missing = F.sort_array(F.flatten(F.collect_list("gap")))
+    return rows.groupBy(area).agg(
+        F.date_format(F.min(month), "yyyy-MM").alias("first_month"), F.date_format(F.max(month), "yyyy-MM").alias("last_month"),
+        F.sum(F.size("gap")).alias("missing_count"), F.array_join(missing, ",").alias("missing_months"))
 
 
 def require_gapless(hours: DataFrame, cols: SeriesColumns = SERIES) -> DataFrame:

@@ -405,6 +405,5 @@ WITH s AS (SELECT *, CASE WHEN source_row % 97 = 0 THEN probability_p + 1 WHEN s
 SELECT model, CASE WHEN score BETWEEN 0 AND 1 AND score >= 0.5 THEN 'suspected' WHEN score BETWEEN 0 AND 1 THEN 'uncertain' ELSE 'invalid' END AS decision, count(*) AS n FROM s GROUP BY 1, 2""")
 def _(v):
     score = F.expr("CASE WHEN source_row % 97 = 0 THEN probability_p + 1 WHEN source_row % 89 = 0 THEN NULL WHEN source_row % 83 = 0 THEN 0.5D ELSE probability_p END")
-    decided, invalid = G.with_decision(v.preds.withColumn("score", score), "score")
-    rows = decided.select("model", "decision").unionByName(invalid.select("model", F.lit("invalid").alias("decision")))
+    rows = v.preds.select("model", score.alias("score")).select("model", F.coalesce(G.decision(F.col("score")), F.lit("invalid")).alias("decision"))
     return rows.groupBy("model", "decision").agg(F.count(F.lit(1)).alias("n"))
