@@ -6,17 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyridge.llm import packing
+from tallyridge.llm import languages, packing, toxicity
 from tallyridge.llm.tables import read
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = languages.learn(docs.where(~languages.held_out()))
+    found = languages.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
     return packing.pack(read(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
 
 
-QUERIES: tuple[Callable, ...] = (op6_harmonic_packing,)
+QUERIES: tuple[Callable, ...] = (op3_toxicity, op6_harmonic_packing, op8_language_mixture)
 SQL: dict[str, str] = {}
 
 
