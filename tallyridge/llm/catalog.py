@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyridge.llm import languages, packing, toxicity
+from tallyridge.llm import extraction, languages, packing, topk, toxicity
 from tallyridge.llm.tables import read
 
 
@@ -24,14 +24,33 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
     return packing.pack(read(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
 
 
-QUERIES: tuple[Callable, ...] = (op3_toxicity, op6_harmonic_packing, op8_language_mixture)
-SQL: dict[str, str] = {}
+def op10_pivot_distance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+QUERIES: tuple[Callable, ...] = (op3_toxicity, op5_tag_path_ratios, op6_harmonic_packing, op8_language_mixture, op10_pivot_distance_topk)
+SQL: dict[str, str] = {"op10_pivot_distance_topk": TOPK_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

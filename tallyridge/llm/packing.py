@@ -10,6 +10,7 @@ open at the end of a partition are cut into sequences with a power of two of ids
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -25,6 +26,17 @@ ID_BYTES = 4
 SEQUENCES_PER_PARTITION = 1 << 33
 
 
+#: Words of letters that have no combining marks and one lower-case form of one character each.
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable stand-in of each byte in byte-level vocabularies: itself, or the next free character from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+
 def pack_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -37,24 +49,25 @@ class WordEncoder(dict):
     ``limit`` bounds the table, not the result.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.model = self.tokenizer.model
+        self.model, self.letters = self.tokenizer.model, byte_letters()
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.limit:
             self.clear()
         if len(word) > 1 and word[-1:] in b".," and word[-2:-1].isalnum():
             ids = self[word[:-1]] + self[word[-1:]]
-        elif word.isalpha():  # ASCII letters: one word of the model, whose byte alphabet is the letters themselves
-            ids = pack_ids([t.id for t in self.model.tokenize(word.lower().decode())])
         else:
-            encoded = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            ids = pack_ids(encoded)
+            text = word.decode("utf-8", "replace")
+            if LATIN.fullmatch(text):  # one word of the model, already composed
+                ids = pack_ids([t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(self.letters))])
+            else:
+                ids = pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
         self[word] = ids
         return ids
 
