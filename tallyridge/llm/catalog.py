@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyridge.llm import extraction, languages, packing, topk, toxicity
+from tallyridge.llm import extraction, languages, licences, packing, secrets, topk, toxicity
 from tallyridge.llm.tables import read
 
 
@@ -34,6 +34,14 @@ def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
 
 
+def op7_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
+def op9_secret_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op10_pivot_distance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return topk.search(vectors, vectors.where("vec_id % 50 = 0"), 5)
@@ -49,8 +57,10 @@ scores AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
-QUERIES: tuple[Callable, ...] = (op3_toxicity, op5_tag_path_ratios, op6_harmonic_packing, op8_language_mixture, op10_pivot_distance_topk)
-SQL: dict[str, str] = {"op10_pivot_distance_topk": TOPK_SQL}
+QUERIES: tuple[Callable, ...] = (op3_toxicity, op5_tag_path_ratios, op6_harmonic_packing, op7_licence_sentences,
+                                 op8_language_mixture, op9_secret_trigrams, op10_pivot_distance_topk)
+SQL: dict[str, str] = {"op7_licence_sentences": licences.oracle_sql(), "op9_secret_trigrams": secrets.oracle_sql(),
+                       "op10_pivot_distance_topk": TOPK_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
