@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+def byte_slices(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``limit`` bytes of text each."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each value; null is empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
@@ -87,7 +100,7 @@ def phrase_hashes(words: np.ndarray, size: int, factor: np.uint64 = ODD) -> np.n
     power, width, step = words, 1, factor
     while True:
         if size & width:
-            piece = power[done:done + n] if out is None else power[done:done + n]
+            piece = power[done:done + n]
             out = piece.copy() if out is None else out * step + piece
             done += width
         if width * 2 > size:
