@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyridge.llm import extraction, languages, licences, packing, secrets, substrings, topk, toxicity
+from tallyridge.llm import extraction, jaccard, languages, licences, packing, secrets, substrings, topk, toxicity
 from tallyridge.llm.tables import read
 
 
@@ -16,6 +16,10 @@ def op1_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
@@ -63,7 +67,7 @@ scores AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
-QUERIES: tuple[Callable, ...] = (op1_repeated_phrases, op3_toxicity, op5_tag_path_ratios, op6_harmonic_packing, op7_licence_sentences,
+QUERIES: tuple[Callable, ...] = (op1_repeated_phrases, op2_token_group_join, op3_toxicity, op5_tag_path_ratios, op6_harmonic_packing, op7_licence_sentences,
                                  op8_language_mixture, op9_secret_trigrams, op10_pivot_distance_topk)
 SQL: dict[str, str] = {"op7_licence_sentences": licences.oracle_sql(), "op9_secret_trigrams": secrets.oracle_sql(),
                        "op10_pivot_distance_topk": TOPK_SQL}

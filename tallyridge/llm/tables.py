@@ -97,7 +97,7 @@ def phrase_hashes(words: np.ndarray, size: int, factor: np.uint64 = ODD) -> np.n
     if n <= 0:
         return np.empty(0, np.uint64)
     out, done = None, 0
-    power, width, step = words, 1, factor
+    power, width, step = words, 1, np.array([factor], np.uint64)
     while True:
         if size & width:
             piece = power[done:done + n]
