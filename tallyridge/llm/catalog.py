@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyridge.llm import extraction, jaccard, languages, licences, packing, secrets, substrings, topk, toxicity
+from tallyridge.llm import decontamination, extraction, jaccard, languages, licences, packing, secrets, substrings, topk, toxicity
 from tallyridge.llm.tables import read
 
 
@@ -34,6 +34,10 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -67,7 +71,7 @@ scores AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
-QUERIES: tuple[Callable, ...] = (op1_repeated_phrases, op2_token_group_join, op3_toxicity, op5_tag_path_ratios, op6_harmonic_packing, op7_licence_sentences,
+QUERIES: tuple[Callable, ...] = (op1_repeated_phrases, op2_token_group_join, op3_toxicity, op4_cgk_decontamination, op5_tag_path_ratios, op6_harmonic_packing, op7_licence_sentences,
                                  op8_language_mixture, op9_secret_trigrams, op10_pivot_distance_topk)
 SQL: dict[str, str] = {"op7_licence_sentences": licences.oracle_sql(), "op9_secret_trigrams": secrets.oracle_sql(),
                        "op10_pivot_distance_topk": TOPK_SQL}
