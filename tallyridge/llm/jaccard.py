@@ -24,7 +24,8 @@ from tallyridge.llm.tables import ODD, WordHashes, byte_slices, mixed, phrase_ha
 
 GROWTH = 1.5  # sizes up to this ratio are dealt into equally many parts
 BLOCK_MEMBERS, BLOCK_TOKENS, COLUMNS = 512, 1 << 18, 4096
-NODE_SCHEMA = "doc_id long, n_shingles long, node long, check long, parts array<long>, mates array<long>"
+NODE_SCHEMA = "doc_id long, n_shingles long, node long, check long"
+MEETING_SCHEMA = "node long, parts array<long>, mates array<long>"
 
 
 def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -67,41 +68,53 @@ class Dealer:
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def _nodes(size: int, num: int, den: int):
-    """Per document its set's size, two hashes, and what brings the set together with others."""
+def _named(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Two hashes of each set; the first is its node, the second tells apart different sets of one node."""
+    return [int(np.bitwise_xor.reduce(mixed(s))) ^ len(s) for s in sets], [int(np.add.reduce(mixed(s ^ ODD))) for s in sets]
+
+
+def _signed(values) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
+def _nodes(size: int):
+    """Each document's set size and node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in byte_slices(batches, "text"):
+            sets = [shingle_set(hashes.of(t.lower().split()), size) for t in raw_texts(batch.column("text"))]
+            node, check = _named(sets)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _signed(node), _signed(check)],
+                                             ["doc_id", "n_shingles", "node", "check"])
+
+    return run
+
+
+def _meetings(size: int, num: int, den: int):
+    """Each node's parts. Of a slice's nodes only one speaks for each part; the others name it as their mate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, dealer = WordHashes(), Dealer(num, den)
         for batch in byte_slices(batches, "text"):
             sets = [shingle_set(hashes.of(t.lower().split()), size) for t in raw_texts(batch.column("text"))]
-            node = [int(np.bitwise_xor.reduce(mixed(s))) ^ len(s) for s in sets]
-            check = [int(np.add.reduce(mixed(s ^ ODD))) for s in sets]
-            signed: dict[int, np.ndarray] = {}
-            for s, name in zip(sets, node):
-                if len(s) and name not in signed:
-                    signed[name] = np.unique(dealer.parts(s))
-            # One node of the slice speaks for each part; the others name it as their mate.
-            names = np.array(list(signed), np.uint64)
-            owner = np.repeat(np.arange(len(names)), [len(p) for p in signed.values()])
-            flat = np.concatenate(list(signed.values())) if signed else np.empty(0, np.uint64)
+            parts: dict[int, np.ndarray] = {}
+            for s, name in zip(sets, _named(sets)[0]):
+                if len(s) and name not in parts:
+                    parts[name] = np.unique(dealer.parts(s))
+            if not parts:
+                continue
+            names, owner = np.array(list(parts), np.uint64), np.repeat(np.arange(len(parts)), [len(p) for p in parts.values()])
+            flat = np.concatenate(list(parts.values()))
             _, first, back = np.unique(flat, return_index=True, return_inverse=True)
-            speaker = owner[first][back] if len(flat) else owner
-            own = {n: ([], []) for n in signed}
-            speaks = speaker == owner
-            for k, name in enumerate(signed):
+            speaker = owner[first][back]
+            own, mates = [], []
+            for k in range(len(names)):
                 a, b = np.searchsorted(owner, [k, k + 1])
-                mine = speaks[a:b]
-                own[name] = (flat[a:b][mine].view(np.int64), names[np.unique(speaker[a:b][~mine])].view(np.int64))
-            rows_parts, rows_mates = [], []
-            for s, name in zip(sets, node):
-                p, m = own.pop(name, ((), ())) if len(s) else ((), ())
-                rows_parts.append(p)
-                rows_mates.append(m)
-            column = [np.array(c, np.uint64).view(np.int64) for c in (node, check)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(column[0]), pa.array(column[1]),
-                 pa.array(rows_parts, pa.list_(pa.int64())), pa.array(rows_mates, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "node", "check", "parts", "mates"])
+                mine = speaker[a:b] == k
+                own.append(flat[a:b][mine].view(np.int64))
+                mates.append(names[np.unique(speaker[a:b][~mine])].view(np.int64))
+            yield pa.RecordBatch.from_arrays([_signed(names), pa.array(own, pa.list_(pa.int64())), pa.array(mates, pa.list_(pa.int64()))], ["node", "parts", "mates"])
 
     return run
 
@@ -178,12 +191,15 @@ def join(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
     columns are ignored.
     """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    nodes = staged(rows.mapInArrow(_nodes(size, num, den), NODE_SCHEMA))
+    nodes = staged(rows.mapInArrow(_nodes(size), NODE_SCHEMA))
     by_part = Window.partitionBy("part")
-    meetings = (nodes.where(F.size("parts") > 0).select(F.explode("parts").alias("part"), "node")
-                .withColumn("least", F.min("node").over(by_part)).where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")))
-    mates = nodes.where(F.size("mates") > 0).select(F.col("node").alias("a"), F.explode("mates").alias("b"))
-    grouped = components(meetings.unionByName(mates))
+    signed = rows.mapInArrow(_meetings(size, num, den), MEETING_SCHEMA)
+    # Mates are sent along as a part that only the two have, so that one pass over the texts gives all meetings.
+    met = F.expr("""concat(transform(parts, p -> named_struct('part', p, 'node', node)),
+      flatten(transform(mates, m -> array(named_struct('part', xxhash64(node, m), 'node', node), named_struct('part', xxhash64(node, m), 'node', m)))))""")
+    meetings = (signed.select(F.explode(met).alias("m")).select("m.part", "m.node").withColumn("least", F.min("node").over(by_part))
+                .where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")))
+    grouped = components(meetings)
     grouped = staged(grouped.unionByName(grouped.select(F.col("root").alias("node"), "root").distinct()))
 
     known = nodes.where("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
