@@ -19,8 +19,8 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component stays, and what has no id: it links with nothing."""
-    gone = jaccard.join(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    """Five-word shingles, similarity 0.8: the document with the smallest id of each component stays, and what has no id: it links with nothing."""
+    gone = jaccard.join(docs, 5, 80, 100).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
