@@ -7,7 +7,7 @@ Rows without id bypass every id-keyed shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyridge.columns import CANONICAL_TRIP_COLUMNS, TRIPS, TripColumns
@@ -81,13 +81,17 @@ def preferred_version(df: DataFrame, alias_ids: DataFrame, cols: TripColumns = T
 
     Rows without id are no part of the result; they never enter the id join.
     """
+    marked, order = _ranked_versions(df, alias_ids, cols)
+    return first_by_key(marked, cols.ride_id, order, df.columns)
+
+
+def _ranked_versions(df: DataFrame, alias_ids: DataFrame, cols: TripColumns) -> tuple[DataFrame, list[Column]]:
     s, e = F.col(cols.started_at), F.col(cols.ended_at)
     keyed = df.where(F.col(cols.ride_id).isNotNull())
     marked = keyed.join(alias_ids.select(F.col(cols.ride_id), F.lit(True).alias("__alias")), cols.ride_id, "left")
     finer = F.coalesce(F.col("__alias"), F.lit(False)) & F.coalesce(
         (s != clock.trunc("second", s)) | (e != clock.trunc("second", e)), F.lit(False))
-    order = [F.when(finer, 0).otherwise(1), F.when(F.col(cols.valid_demand), 0).otherwise(1), F.col(cols.file)]
-    return first_by_key(marked, cols.ride_id, order, df.columns)
+    return marked, [F.when(finer, 0).otherwise(1), F.when(F.col(cols.valid_demand), 0).otherwise(1), F.col(cols.file)]
 
 
 def signed_counts(left: DataFrame, right: DataFrame, columns) -> DataFrame:
@@ -180,6 +184,19 @@ def align_months(df: DataFrame, cols: TripColumns = TRIPS, alias_precision: bool
     )
 
 
+def removed_rows(df: DataFrame, cols: TripColumns = TRIPS, alias_precision: bool = True) -> DataFrame:
+    """The rows that month alignment drops, found on their own: losing versions of repeated ids, and off-month copies
+    without id that are proven."""
+    repeated = duplicate_rows(df, cols.ride_id)
+    aliases = time_alias_ids(repeated, cols) if alias_precision else df.select(cols.ride_id).where("false")
+    marked, order = _ranked_versions(repeated, aliases, cols)
+    place = F.row_number().over(Window.partitionBy(cols.ride_id).orderBy(*order, *df.columns))
+    losing = marked.withColumn("__place", place).where("__place > 1").select(*df.columns)
+    proven = segment_containment(df, cols=cols).where("proven_copy").select(cols.file, "natural_month")
+    copies = spill_rows(df.where(F.col(cols.ride_id).isNull()), cols).join(proven, [cols.file, "natural_month"], "left_semi")
+    return losing.unionByName(copies.select(*df.columns))
+
+
 def inconsistent_fields(df: DataFrame, columns, key: str = TRIPS.ride_id) -> DataFrame:
     """Per column: how many repeated ids carry more than one value (null is a value)."""
     differs = [

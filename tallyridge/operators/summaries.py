@@ -159,27 +159,24 @@ def time_bounds(trips: DataFrame, by=(), cols: TripColumns = TRIPS) -> DataFrame
         F.count(F.lit(1)).alias("rows"), F.min(cols.started_at).alias("first_start"), F.max(cols.started_at).alias("last_start"))
 
 
-def reconciliation(raw: DataFrame, kept: DataFrame, part: str = "source_month", target: str = "target_month") -> DataFrame:
+def reconciliation(raw: DataFrame, kept: DataFrame, removed: DataFrame, part: str = "source_month", target: str = "target_month") -> DataFrame:
     """raw + in - out = retained + removed, per partition.
 
-    ``kept`` holds the surviving rows with the partition they came from and the one they
-    end in; it is read once and reduced to (from, to) counts.
+    ``kept`` holds the surviving rows with the partition they came from and the one they end in, ``removed`` the rows
+    that were dropped. The three tables are counted on their own, so a lost row leaves its partition unbalanced.
     """
-    zero, n = F.lit(0).cast("bigint"), F.col("n")
-    hop = F.when(F.col(part) != F.col(target), n).otherwise(zero)
+    counts = {"raw_rows": raw.select(F.col(part).alias("p"), F.lit("raw_rows").alias("what")),
+              "removed_rows": removed.select(F.col(part).alias("p"), F.lit("removed_rows").alias("what"))}
     moves = kept.groupBy(part, target).agg(F.count(F.lit(1)).alias("n"))
-    sides = moves.select(F.explode(F.array(
-        F.struct(F.col(part).alias("p"), n.alias("survivors"), zero.alias("retained_rows"), hop.alias("moved_out"), zero.alias("moved_in")),
-        F.struct(F.col(target).alias("p"), zero.alias("survivors"), n.alias("retained_rows"), zero.alias("moved_out"), hop.alias("moved_in")),
-    )).alias("s")).select("s.*")
-    names = ("survivors", "retained_rows", "moved_out", "moved_in")
-    flow = sides.groupBy(F.col("p").alias(part)).agg(*[F.sum(c).alias(c) for c in names])
-    filled = raw.groupBy(part).agg(F.count(F.lit(1)).alias("raw_rows")).join(flow, part, "full").select(
-        part, *[F.coalesce(c, zero).alias(c) for c in ("raw_rows", *names)])
-    removed = F.col("raw_rows") - F.col("survivors")
-    return filled.select(
-        part, "raw_rows", "moved_in", "moved_out", "retained_rows", removed.alias("removed_rows"),
-        (F.col("raw_rows") + F.col("moved_in") - F.col("moved_out") == F.col("retained_rows") + removed).alias("balanced"))
+    hop = F.col(part) != F.col(target)
+    flows = moves.select(F.explode(F.array(
+        F.struct(F.col(target).alias("p"), F.lit("retained_rows").alias("what"), "n"),
+        F.struct(F.when(hop, F.col(part)).alias("p"), F.lit("moved_out").alias("what"), "n"),
+        F.struct(F.when(hop, F.col(target)).alias("p"), F.lit("moved_in").alias("what"), "n"))).alias("s")).select("s.*").where("p IS NOT NULL")
+    own = counts["raw_rows"].unionByName(counts["removed_rows"]).groupBy("p", "what").agg(F.count(F.lit(1)).alias("n"))
+    names = ["raw_rows", "moved_in", "moved_out", "retained_rows", "removed_rows"]
+    wide = own.unionByName(flows).groupBy(F.col("p").alias(part)).pivot("what", names).agg(F.sum("n")).fillna(0, names)
+    return wide.select(part, *names, (F.col("raw_rows") + F.col("moved_in") - F.col("moved_out") == F.col("retained_rows") + F.col("removed_rows")).alias("balanced"))
 
 
 def daily_share(series: DataFrame, first_hour: int = 7, last_hour: int = 9, cols: SeriesColumns = SERIES) -> DataFrame:

@@ -24,6 +24,8 @@ from tallyridge.sources import archives as Z
 from tallyridge.sources import delimited, sinks, stages
 from tallyridge.streaming.demand import work_folder
 
+LOCAL_WORK = "/tmp/tallyridge-work"  # of sessions in one process without spark.checkpoint.dir
+
 HEADER = "ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,member_casual"
 ROWS_PER_ARCHIVE = 2000
 
@@ -34,7 +36,7 @@ def _uri(folder: str) -> str:
 
 def archive_folder(v) -> str:
     """Trips as ZIP archives of 2,000 rows in two part files each, every third one nested."""
-    folder = work_folder(v.spark) + "/archives"
+    folder = work_folder(v.spark, LOCAL_WORK) + "/archives"
     fs, base = pafs.FileSystem.from_uri(_uri(folder))
     fs.create_dir(base)
     lines = v.trips.select(
@@ -139,7 +141,7 @@ def _(v):
 @query("src_csv_semicolon_na", """
 SELECT row_id, label, cap_diameter, kind, color FROM items""")
 def _(v):
-    path = work_folder(v.spark) + "/semicolon"
+    path = work_folder(v.spark, LOCAL_WORK) + "/semicolon"
     v.items.select("row_id", "label", "cap_diameter", "kind", "color").write.mode("overwrite").option("header", True).option("sep", ";").option("nullValue", "?").csv(path)
     schema = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("label", T.StringType()), T.StructField("cap_diameter", T.DoubleType()),
                            T.StructField("kind", T.StringType()), T.StructField("color", T.StringType())])
@@ -167,7 +169,7 @@ def _(v):
 @query("sink_parquet_partitioned", """
 SELECT area, year(started_at)::INT AS year, month(started_at)::INT AS month, count(*) AS rows, sum(event_id)::BIGINT AS ids FROM dst_trips GROUP BY 1, 2, 3""")
 def _(v):
-    path = work_folder(v.spark) + "/partitioned"
+    path = work_folder(v.spark, LOCAL_WORK) + "/partitioned"
     sinks.write_partitioned(v.dst_trips.withColumns({"year": F.year("started_at"), "month": F.month("started_at")}), path)
     return v.spark.read.parquet(path).groupBy("area", "year", "month").agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids"))
 
@@ -175,7 +177,7 @@ def _(v):
 @query("sink_csv_json_reports", """
 SELECT source_month, count(*) AS rows, 'csv' AS kind FROM trips GROUP BY 1 UNION ALL SELECT source_month, count(*), 'json' FROM trips GROUP BY 1""")
 def _(v):
-    folder = work_folder(v.spark)
+    folder = work_folder(v.spark, LOCAL_WORK)
     report = v.trips.groupBy("source_month").agg(F.count(F.lit(1)).alias("rows"))
     sinks.write_report(report, f"{folder}/csv", "csv")
     sinks.write_report(report, f"{folder}/json", "json")
@@ -187,7 +189,7 @@ def _(v):
 
 @query("sink_guarded_overwrite", "SELECT row_id, label FROM items")
 def _(v):
-    path = work_folder(v.spark) + "/guarded"
+    path = work_folder(v.spark, LOCAL_WORK) + "/guarded"
     rows = v.items.select("row_id", "label")
     sinks.write_guarded(rows, path)
     sinks.write_guarded(rows, path)

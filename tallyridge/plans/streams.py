@@ -5,24 +5,36 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyridge.plans.catalog import query
+from tallyridge.operators.dedup import CONTENT
 from tallyridge.plans.demand import ORIGIN, RESIDUAL_SQL
-from tallyridge.plans.trips import COUNTERS_SQL
+from tallyridge.plans.sources import LOCAL_WORK
+from tallyridge.plans.trips import COUNTERS_SQL, DEDUP_SQL
 from tallyridge.plans.views import Views
 from tallyridge.streaming import demand as L
 
 
+FILES = 6
+
+
 class Replay(Views):
-    """The same views with ``events`` read as a stream."""
+    """The same views with ``events`` read as a stream: rewritten as several files in an order that is not that of time,
+    one file per batch."""
+
+    def __init__(self, spark, sf_dir, folder):
+        super().__init__(spark, sf_dir)
+        self.folder = folder
 
     def table(self, name):
         if name != "events":
             return super().table(name)
-        # The glob lets one pattern stand for a single file and for a folder of files.
-        return L.file_stream(self.spark, f"{self.sf_dir}/{name}.parquet*")
+        path = f"{self.folder}/events"
+        super().table(name).repartition(FILES, F.xxhash64("event_id")).write.mode("ignore").parquet(path)
+        return L.file_stream(self.spark, path, 1)
 
 
 def replay(v):
-    return Replay(v.spark, v.sf_dir), L.work_folder(v.spark)
+    folder = L.work_folder(v.spark, LOCAL_WORK)
+    return Replay(v.spark, v.sf_dir, folder), folder
 
 
 @query("stream_hourly_demand", "SELECT area, timestamp, rides FROM hours")
@@ -31,12 +43,10 @@ def _(v):
     return L.hourly_demand(live.trips, folder)
 
 
-@query("stream_dedup_rides", """
-SELECT ride_id IS NOT NULL AS has_id, CASE WHEN ride_id IS NULL THEN count(*) ELSE count(DISTINCT ride_id) END AS rows, count(DISTINCT ride_id) AS ids FROM trips_dup GROUP BY ride_id IS NOT NULL, ride_id IS NULL""")
+@query("stream_dedup_rides", DEDUP_SQL)
 def _(v):
     live, folder = replay(v)
-    out = L.dedup(live.trips_dup, folder, "40 days")
-    return out.groupBy(F.col("ride_id").isNotNull().alias("has_id")).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("ride_id").alias("ids"))
+    return L.dedup(live.trips_dup, folder, columns=CONTENT)
 
 
 @query("stream_quality_counters", f"SELECT source_month, {COUNTERS_SQL} FROM trips GROUP BY 1")
@@ -57,7 +67,7 @@ def _(v):
 
 @query("stream_day_ahead", f"WITH {RESIDUAL_SQL} SELECT area, timestamp, rides, predicted_rides, residual FROM residuals")
 def _(v):
-    folder = L.work_folder(v.spark)
-    v.hourly.write.mode("overwrite").parquet(f"{folder}/hourly")
-    stream = L.file_stream(v.spark, f"{folder}/hourly")
-    return L.day_ahead(stream, f"{folder}/run", ORIGIN).select("area", "timestamp", "rides", "predicted_rides", "residual")
+    folder = L.work_folder(v.spark, LOCAL_WORK)
+    day = F.date_format("timestamp", "yyyy-MM-dd")
+    v.hourly.repartition(FILES, F.xxhash64(day)).write.mode("overwrite").parquet(f"{folder}/hourly")
+    return L.day_ahead(L.file_stream(v.spark, f"{folder}/hourly", 1), f"{folder}/run", ORIGIN).select("area", "timestamp", "rides", "predicted_rides", "residual")

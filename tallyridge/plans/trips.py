@@ -343,16 +343,17 @@ def _(v):
 
 
 @query("agg_partition_reconciliation", f"""
-WITH {ALIGN_SQL}, r AS (SELECT source_month, count(*) AS raw_rows FROM trips_dup GROUP BY 1),
- k AS (SELECT target_month AS source_month, count(*) AS retained_rows FROM survivors GROUP BY 1),
- o AS (SELECT source_month, count(*) AS n, count_if(source_month <> target_month)::BIGINT AS moved_out FROM survivors GROUP BY 1),
- i AS (SELECT target_month AS source_month, count_if(source_month <> target_month)::BIGINT AS moved_in FROM survivors GROUP BY 1)
-SELECT source_month, raw_rows, coalesce(moved_in, 0) AS moved_in, coalesce(moved_out, 0) AS moved_out, coalesce(retained_rows, 0) AS retained_rows,
-  raw_rows - coalesce(n, 0) AS removed_rows, true AS balanced
-FROM r LEFT JOIN k USING (source_month) LEFT JOIN o USING (source_month) LEFT JOIN i USING (source_month)""")
+WITH {ALIGN_SQL},
+ gone AS (SELECT source_month FROM ranked WHERE rn > 1 UNION ALL
+   SELECT t.source_month FROM spills t JOIN proof p ON p.filename = t.filename AND p.natural_month = t.natural_month AND p.unmatched_rows = 0 WHERE t.ride_id IS NULL),
+ facts AS (SELECT source_month AS m, 1 AS raw, 0 AS came, 0 AS went, 0 AS stayed, 0 AS dropped FROM trips_dup
+   UNION ALL SELECT source_month, 0, 0, (source_month <> target_month)::INT, 0, 0 FROM survivors
+   UNION ALL SELECT target_month, 0, (source_month <> target_month)::INT, 0, 1, 0 FROM survivors
+   UNION ALL SELECT source_month, 0, 0, 0, 0, 1 FROM gone)
+SELECT m AS source_month, sum(raw)::BIGINT AS raw_rows, sum(came)::BIGINT AS moved_in, sum(went)::BIGINT AS moved_out, sum(stayed)::BIGINT AS retained_rows,
+  sum(dropped)::BIGINT AS removed_rows, sum(raw) + sum(came) - sum(went) = sum(stayed) + sum(dropped) AS balanced FROM facts GROUP BY 1""")
 def _(v):
-    kept = D.align_months(v.trips_dup)
-    return A.reconciliation(v.trips_dup, kept)
+    return A.reconciliation(v.trips_dup, D.align_months(v.trips_dup), D.removed_rows(v.trips_dup))
 
 
 @query("agg_manifest_by_area", f"""
@@ -438,11 +439,14 @@ def _(v):
     return D.accepted_spills(rows, surplus, proven).select("event_id", "filename", "natural_month")
 
 
-@query("win_dedup_first", f"""
+DEDUP_SQL = f"""
 SELECT {', '.join(f'round({c}, 6) AS {c}' if c in ('duration_minutes', 'start_lat', 'start_lng', 'end_lat', 'end_lng', 'reported_duration_seconds') else c for c in D.CONTENT)} FROM (
  SELECT {CONTENT_SQL} FROM trips_dup WHERE ride_id IS NULL UNION ALL
  SELECT {CONTENT_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY ride_id ORDER BY started_at,
-   {', '.join(c + ' NULLS FIRST' for c in D.CONTENT)}) AS rn FROM trips_dup WHERE ride_id IS NOT NULL) WHERE rn = 1)""")
+   {', '.join(c + ' NULLS FIRST' for c in D.CONTENT)}) AS rn FROM trips_dup WHERE ride_id IS NOT NULL) WHERE rn = 1)"""
+
+
+@query("win_dedup_first", DEDUP_SQL)
 def _(v):
     return D.dedup_first(v.trips_dup, columns=D.CONTENT)
 
@@ -487,9 +491,9 @@ def sample_rows(v, share: int = 10):
                        F.round("duration_minutes", 6).alias("duration_minutes"), hashing.md5_key(*parts).alias("key"))
 
 
-@query("sample_hash_deterministic", f"WITH {SAMPLE_SQL} SELECT * FROM sample ORDER BY key, started_at LIMIT 200000")
+@query("sample_hash_deterministic", f"WITH {SAMPLE_SQL} SELECT * FROM sample")
 def _(v):
-    return sample_rows(v).orderBy("key", "started_at").limit(200_000)
+    return sample_rows(v)
 
 
 @query("sample_duplicate_audit", f"""
@@ -514,13 +518,23 @@ def _(v):
 
 
 @query("src_parquet_stage_scan", """
-SELECT area, CASE WHEN started_at < TIMESTAMP '2024-01-15' THEN 'development' WHEN started_at < TIMESTAMP '2024-01-25' THEN 'validation' ELSE 'test' END AS stage,
-  count(*) AS n, count_if(area <> 'NYC')::BIGINT AS foreign_rows FROM trips WHERE started_at < TIMESTAMP '2024-01-25' GROUP BY ALL""")
+WITH t AS (SELECT CASE WHEN event_id % 5 = 0 THEN 'JC' ELSE 'NYC' END AS area, started_at FROM trips)
+SELECT area, CASE WHEN started_at < TIMESTAMP '2024-01-15' THEN 'development' ELSE 'validation' END AS stage, count(*) AS n,
+  min(started_at) AS first_start, max(started_at) AS last_start FROM t WHERE started_at < TIMESTAMP '2024-01-25' GROUP BY ALL""")
 def _(v):
+    from tallyridge.plans.sources import LOCAL_WORK
+    from tallyridge.sources.sinks import write_partitioned
+    from tallyridge.streaming.demand import work_folder
+
     periods = stages.StagePeriods("2024-01-15", "2024-01-25", "2024-02-01")
-    frames = [stages.stage_rows(v.trips, "NYC", s, periods).withColumn("stage", F.lit(s)) for s in ("development", "validation")]
-    return frames[0].unionByName(frames[1]).groupBy("area", "stage").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("area") != "NYC").alias("foreign_rows"))
+    path = work_folder(v.spark, LOCAL_WORK) + "/trips"
+    rows = v.trips.select(F.when(F.col("event_id") % 5 == 0, "JC").otherwise("NYC").alias("area"), "event_id", "started_at",
+                          F.year("started_at").alias("year"), F.month("started_at").alias("month"))
+    write_partitioned(rows, path, ["area", "year", "month"])
+    out = [stages.stage_scan(v.spark, path, area, stage, periods).select("area", F.lit(stage).alias("stage"), "started_at")
+           for area in ("NYC", "JC") for stage in ("development", "validation")]
+    return D.union_all(*out).groupBy("area", "stage").agg(
+        F.count(F.lit(1)).alias("n"), F.min("started_at").alias("first_start"), F.max("started_at").alias("last_start"))
 
 
 @query("split_stage_periods", """

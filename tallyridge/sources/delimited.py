@@ -15,13 +15,18 @@ def read_semicolon(spark: SparkSession, path: str, schema: T.StructType, missing
     return spark.read.csv(path, sep=";", header=True, schema=schema, nullValue=missing, enforceSchema=False)
 
 
+def hour_label(name: str) -> Column:
+    """The hour a label names; null if there is no such hour."""
+    return F.regexp_replace(name, "T", " ").try_cast("timestamp_ntz")
+
+
 def history_reject_reason(area: str) -> Column:
     """First broken rule of an uploaded history row, null when the row is fine."""
     count = F.trim("rides").try_cast("double")
     bad = count.isNull() | F.isnan(count) | (F.abs(count) == float("inf")) | (count < 0)
     return (
         F.when(~F.col("area").eqNullSafe(F.lit(area)), "foreign area")
-        .when(~F.coalesce(F.col("timestamp").rlike(HOUR_LABEL), F.lit(False)), "not a local hour label")
+        .when(~F.coalesce(F.col("timestamp").rlike(HOUR_LABEL), F.lit(False)) | hour_label("timestamp").isNull(), "not a local hour label")
         .when(bad, "invalid count")
     )
 
@@ -43,6 +48,6 @@ def read_history(spark: SparkSession, path: str, area: str) -> tuple[DataFrame,
     reason = F.when(F.col("_corrupt").isNotNull(), "wrong number of fields").otherwise(history_reject_reason(area))
     marked = rows.withColumn("reject_reason", reason)
     good = marked.where(F.col("reject_reason").isNull()).select(
-        F.regexp_replace("timestamp", "T", " ").cast("timestamp_ntz").alias("timestamp"),
+        hour_label("timestamp").alias("timestamp"),
         F.col("rides").cast("double").alias("rides"), "area")
     return good, marked.where(F.col("reject_reason").isNotNull()).select(*HISTORY_COLUMNS, "reject_reason")

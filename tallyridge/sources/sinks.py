@@ -10,14 +10,10 @@ from tallyridge.operators.dedup import signed_counts
 def write_partitioned(df: DataFrame, path: str, by=("area", "year", "month"), mode: str = "overwrite") -> None:
     """ZSTD parquet, one folder per partition; overwriting replaces only the partitions written.
 
-    Rows are brought together by partition and by the leading hash of the row, so a
-    partition that holds most of the data is still written by many tasks.
+    Rows are brought together by partition; the rebalance lets adaptive execution split a partition that holds most of
+    the data over many tasks and merge small ones.
     """
-    from pyspark.sql import functions as F
-
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in by]), F.lit(16))
-    (df.withColumn("__salt", salt).repartition(*by, "__salt").drop("__salt")
-     .write.mode(mode).partitionBy(*by).option("compression", "zstd")
+    (df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).option("compression", "zstd")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 

@@ -44,16 +44,22 @@ def stage_rows(df: DataFrame, area: str, stage: str, periods: StagePeriods, when
     return df.where(keep)
 
 
-def stage_scan(spark: SparkSession, path: str, area: str, stage: str, periods: StagePeriods, selection_locked: bool = False) -> DataFrame:
-    """Read only the month partitions of one area and stage (partition pruning)."""
-    if stage == "test" and not selection_locked:
-        raise PermissionError("the test stage opens only after the selection is locked")
+def stage_scan(spark: SparkSession, path: str, area: str, stage: str, periods: StagePeriods, when: str = "started_at",
+               selection_locked: bool = False) -> DataFrame:
+    """Rows of one area and stage from month partitions (area, year, month).
+
+    Partitions whose month overlaps the stage are read, and rows outside its bounds are left out, so a bound inside a
+    month keeps the stages apart. A scan without rows is an error.
+    """
     first, stop = periods.bounds(stage)
     month = F.make_date(F.col("year"), F.col("month"), F.lit(1))
-    keep = (F.col("area") == area) & (month < F.lit(stop).cast("date"))
+    overlap = month.cast("timestamp_ntz") < F.lit(stop).cast("timestamp_ntz")
     if first:
-        keep = keep & (month >= F.lit(first).cast("date"))
-    return spark.read.parquet(path).where(keep)
+        overlap = overlap & (F.add_months(month, 1) > F.lit(first[:10]).cast("date"))
+    rows = stage_rows(spark.read.parquet(path).where(overlap), area, stage, periods, when, selection_locked)
+    if not rows.take(1):
+        raise ValueError(f"no rows of {area} in the {stage} stage")
+    return rows
 
 
 def require_area(df: DataFrame, area: str) -> DataFrame:

@@ -6,7 +6,6 @@ replayed after a failure replaces its own output.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,17 +14,16 @@ from pyspark.sql import functions as F
 from tallyridge.columns import TRIPS, TripColumns
 from tallyridge.functions import clock
 from tallyridge.operators import scoring, series
+from tallyridge.operators.dedup import dedup_first
 from tallyridge.operators.summaries import quality_counters
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder; local temp only without one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+def work_folder(spark: SparkSession, local: str | None = None) -> str:
+    """A fresh folder below the cluster's shared checkpoint folder; below ``local`` only in a session of one process."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or (local if spark.sparkContext.master.startswith("local[") else None)
+    if not shared:
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    return tempfile.mkdtemp(prefix="tallyridge-")
+    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
@@ -41,37 +39,35 @@ def drain(stream: DataFrame, folder: str, write, mode: str = "append") -> None:
     query.awaitTermination()
 
 
-def _batch_writer(folder: str, name: str = "rows"):
+def hourly_demand(trips: DataFrame, folder: str, cols: TripColumns = TRIPS) -> DataFrame:
+    """Hourly counts; rows count whenever they arrive.
+
+    Each batch writes its own counts, which add up when they are read. There is no watermark, so
+    nothing is late, and a batch that is replayed replaces its part.
+    """
+    spark = trips.sparkSession
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch_id}")
+        series.hourly_demand(batch, cols=cols).write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
 
-    return write
+    drain(trips, folder, write)
+    parts = spark.read.parquet(f"{folder}/rows")
+    return parts.groupBy("area", "timestamp").agg(F.sum("rides").alias("rides"))
 
 
-def hourly_demand(trips: DataFrame, folder: str, late: str = "2 hours", cols: TripColumns = TRIPS) -> DataFrame:
-    """Hourly counts with late starts accepted up to the watermark; returns the final table.
+def dedup(trips: DataFrame, folder: str, cols: TripColumns = TRIPS, columns=None) -> DataFrame:
+    """The earliest version per id over all batches, whatever the order of arrival; rows without id all stay.
 
-    Update mode emits an hour each time it changes: the last emission per hour stands.
+    A batch keeps the earliest version of each of its ids; the earliest of those is picked on reading.
     """
     spark = trips.sparkSession
-    ts = F.col(cols.started_at).cast("timestamp")
-    counts = (trips.where(F.col(cols.valid_demand)).withColumn("ts", ts).withWatermark("ts", late)
-              .groupBy(F.col(cols.area).alias("area"), F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("rides")))
-    flat = counts.select("area", F.col("w.start").cast("timestamp_ntz").alias("timestamp"), "rides")
-    drain(flat, folder, _batch_writer(folder), "update")
-    emitted = spark.read.parquet(f"{folder}/rows")
-    return emitted.groupBy("area", "timestamp").agg(F.max_by("rides", "batch").alias("rides"))
+    columns = list(columns or trips.columns)
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        dedup_first(batch, cols, columns).write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
 
-def dedup(trips: DataFrame, folder: str, within: str = "1 day", cols: TripColumns = TRIPS) -> DataFrame:
-    """First version per id within the watermark; rows without id are all kept."""
-    spark = trips.sparkSession
-    timed = trips.withColumn("__ts", F.col(cols.started_at).cast("timestamp"))
-    known = timed.where(F.col(cols.ride_id).isNotNull()).withWatermark("__ts", within).dropDuplicatesWithinWatermark([cols.ride_id])
-    drain(known.drop("__ts"), f"{folder}/known", _batch_writer(f"{folder}/known"))
-    drain(timed.where(F.col(cols.ride_id).isNull()).drop("__ts"), f"{folder}/anonymous", _batch_writer(f"{folder}/anonymous"))
-    parts = [spark.read.parquet(f"{folder}/{p}/rows").drop("batch") for p in ("known", "anonymous")]
-    return parts[0].unionByName(parts[1])
+    drain(trips, folder, write)
+    return dedup_first(spark.read.parquet(f"{folder}/rows").drop("batch"), cols, columns)
 
 
 def quality(trips: DataFrame, folder: str, by=("source_month",), cols: TripColumns = TRIPS) -> DataFrame:
@@ -102,21 +98,28 @@ def route_months(trips: DataFrame, folder: str, cols: TripColumns = TRIPS) -> tu
 
 
 def day_ahead(hours: DataFrame, folder: str, start: str, score=scoring.seasonal_naive) -> DataFrame:
-    """Score days as their observations arrive: each batch joins the history and scores its own days.
+    """Score days as observations arrive, in any order.
 
-    A day is scored from features of earlier days, so arrival order inside a batch does
-    not matter. Only the days that the features can reach are read back.
+    A day's features reach ``HISTORY_DAYS`` back, so a batch scores its own days again and every known day that its
+    observations reach. Of a day's scores the one of the latest batch stands. Observations lie in one folder per day;
+    a batch reads only the days that those features can reach.
     """
     spark = hours.sparkSession
+    reach = series.HISTORY_DAYS
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/seen/batch={batch_id}")
-        seen = spark.read.parquet(f"{folder}/seen").where(F.col("batch") <= batch_id).drop("batch")
-        days = batch.select("area", clock.trunc("day", F.col("timestamp")).alias("day")).distinct()
-        reach = days.groupBy("area").agg((F.min("day") - F.expr(f"INTERVAL {series.HISTORY_DAYS} DAYS")).alias("__from"))
-        history = seen.join(reach, "area").where("timestamp >= __from").drop("__from")
-        scored = scoring.rolling_origin(series.demand_frame(history).join(days, ["area", "day"], "left_semi"), start, score)
+        day = clock.trunc("day", F.col("timestamp")).cast("date")
+        batch.withColumn("day", day).write.mode("overwrite").partitionBy("day").parquet(f"{folder}/seen/batch={batch_id}")
+        span = batch.agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
+        if span.a is None:
+            return
+        near = F.col("day").between(F.date_sub(F.lit(span.a), reach), F.date_add(F.lit(span.b), reach))
+        seen = spark.read.option("basePath", f"{folder}/seen").parquet(f"{folder}/seen").where((F.col("batch") <= batch_id) & near).drop("batch", "day")
+        again = F.col("day").cast("date").between(F.lit(span.a), F.date_add(F.lit(span.b), reach))
+        scored = scoring.rolling_origin(series.demand_frame(seen).where(again), start, score)
         scored.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
 
     drain(hours, folder, write)
-    return spark.read.parquet(f"{folder}/rows").drop("batch")
+    rows = spark.read.parquet(f"{folder}/rows")
+    latest = rows.groupBy("area", "timestamp").agg(F.max("batch").alias("batch"))
+    return rows.join(latest, ["area", "timestamp", "batch"], "left_semi").drop("batch")

@@ -129,6 +129,23 @@ def test_preparation_run_and_receipts(spark, tmp_path):
     assert sorted(r.ride_id for r in plan.collect()) == ["r3", "r9"]
 
 
+def test_stage_scan_keeps_stages_apart_inside_a_month(spark, tmp_path):
+    rows = spark.sql("""SELECT IF(id % 3 = 0, 'JC', 'NYC') AS area, id, timestamp_ntz'2023-12-20 00:00:00' + make_dt_interval(CAST(id AS INT)) AS started_at FROM range(60)""")
+    rows = rows.withColumns({"year": F.year("started_at"), "month": F.month("started_at")})
+    sinks.write_partitioned(rows, str(tmp_path / "t"))
+    periods = stages.StagePeriods("2024-01-15", "2024-01-25", "2024-02-10")
+    for area in ("NYC", "JC"):
+        for stage in ("development", "validation"):
+            got = stages.stage_scan(spark, str(tmp_path / "t"), area, stage, periods)
+            assert {r.id for r in got.collect()} == {r.id for r in stages.stage_rows(rows, area, stage, periods).collect()}
+    plan = stages.stage_scan(spark, str(tmp_path / "t"), "NYC", "validation", periods)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "make_date" in plan
+    with pytest.raises(PermissionError):
+        stages.stage_scan(spark, str(tmp_path / "t"), "NYC", "test", periods)
+    with pytest.raises(ValueError):
+        stages.stage_scan(spark, str(tmp_path / "t"), "LA", "validation", periods)
+
+
 def test_receipt_digests(spark):
     receipts = spark.createDataFrame([("NYC", "2024-01", "s", "d1"), ("NYC", "2024-02", "s", "d2")], "area string, period string, signature string, digest string")
     actual = spark.createDataFrame([("NYC", "2024-01", "d1"), ("NYC", "2024-02", "broken")], "area string, period string, digest string")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyridge.operators import clean as C
+from tallyridge.operators import dedup as D
 from tallyridge.operators import scoring as G
 from tallyridge.operators import series as S
 from tallyridge.operators import summaries as A
@@ -41,14 +42,27 @@ def same(a, b):
 
 def test_hourly_counts_equal_batch(batch):
     rows, stream, at = batch
-    assert same(L.hourly_demand(stream(), at("h"), "10 hours"), S.hourly_demand(rows))
+    assert same(L.hourly_demand(stream(), at("h")), S.hourly_demand(rows))
 
 
-def test_dedup_keeps_one_version_and_all_anonymous_rows(batch):
-    rows, stream, at = batch
-    out = L.dedup(stream(), at("d"), "30 days")
-    assert out.where("ride_id IS NULL").count() == 2
-    assert out.where("ride_id IS NOT NULL").count() == rows.select("ride_id").where("ride_id IS NOT NULL").distinct().count()
+def test_dedup_equals_batch_although_the_earliest_version_comes_last(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    rows = trips(spark, folder)
+    early = rows.where("ride_id = 'r20'").withColumn("started_at", F.expr("started_at - INTERVAL 40 DAYS"))
+    early.coalesce(1).write.mode("append").parquet(folder)
+    out = L.dedup(L.file_stream(spark, folder, 1), str(tmp_path / "d"))
+    whole = spark.read.parquet(folder)
+    assert same(out, D.dedup_first(whole)) and out.where("ride_id IS NULL").count() == 2
+    assert out.where("ride_id = 'r20'").first().started_at < T0 - timedelta(days=30)
+
+
+def test_hours_count_however_late_their_file_comes(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    for n, hour in enumerate((10, 20, 3)):
+        part = spark.createDataFrame([("NYC", datetime(2024, 1, 1, hour, 5), True)], "area string, started_at timestamp_ntz, valid_demand boolean")
+        part.coalesce(1).write.mode("append" if n else "overwrite").parquet(folder)
+    out = L.hourly_demand(L.file_stream(spark, folder, 1), str(tmp_path / "h"))
+    assert sorted((r.timestamp.hour, r.rides) for r in out.collect()) == [(3, 1), (10, 1), (20, 1)]
 
 
 def test_counters_add_up(batch):
@@ -68,7 +82,7 @@ def test_day_ahead_equals_the_batch_pass(spark, tmp_path):
     hours = [(datetime(2024, 1, 1) + timedelta(hours=i), i % 53, "NYC") for i in range(18 * 24)]
     series = spark.createDataFrame(hours, "timestamp timestamp_ntz, rides long, area string")
     folder = str(tmp_path / "days")
-    for n, (a, b) in enumerate([(1, 16), (16, 17), (17, 19)]):
+    for n, (a, b) in enumerate([(1, 15), (16, 19), (15, 16)]):  # the middle day comes last
         part = series.where(f"day(timestamp) >= {a} AND day(timestamp) < {b}").coalesce(1)
         part.write.mode("append" if n else "overwrite").parquet(folder)
     out = L.day_ahead(L.file_stream(spark, folder, 1), str(tmp_path / "run"), "2024-01-15")
@@ -81,4 +95,7 @@ def test_day_ahead_equals_the_batch_pass(spark, tmp_path):
 def test_checkpoint_folder_prefers_the_cluster_setting(spark, tmp_path):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert checkpoint_dir(spark, str(tmp_path)) == (shared or str(tmp_path))
-    assert L.work_folder(spark)
+    assert L.work_folder(spark, str(tmp_path))
+    if not shared:
+        with pytest.raises(ValueError):
+            L.work_folder(spark)

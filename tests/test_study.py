@@ -129,10 +129,10 @@ def test_fold_deviation_is_the_sample_one(spark):
 
 
 def test_threshold_within_budget(spark):
-    y = [0, 0, 0, 0, 0, 0, 0, 1, 1, 1]
-    p = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.9, 0.35, 0.7, 0.8]
-    r = H.fpr_budget(preds(spark, y, p), ["model"], 0.15).first()
-    assert r.recall == pytest.approx(2 / 3) and r.threshold == 0.7 and r.fpr == pytest.approx(1 / 7)
+    y = [0] * 12 + [1] * 5
+    p = [0.05, 0.07, 0.11, 0.16, 0.22, 0.27, 0.31, 0.44, 0.52, 0.58, 0.81, 0.93, 0.25, 0.55, 0.62, 0.88, 0.97]
+    r = H.fpr_budget(preds(spark, y, p), ["model"], 0.2).first()
+    assert r.recall == pytest.approx(3 / 5) and r.threshold == 0.62 and r.fpr == pytest.approx(2 / 12)
     none = H.fpr_budget(preds(spark, [0, 1], [0.9, 0.1]), ["model"], 0.1).first()
     assert none.threshold == np.nextafter(0.9, 1) and none.recall == 0
 
@@ -175,9 +175,10 @@ def test_vote_weights_keep_the_earlier_option_on_ties(spark):
 
 
 def test_holm(spark):
-    df = spark.createDataFrame([("f", "a", 0.01), ("f", "b", 0.04), ("f", "c", 0.03)], "family string, label string, p_value double")
-    got = {r.label: r.holm_p for r in T.holm(df).collect()}
-    assert got == {"a": pytest.approx(0.03), "b": pytest.approx(0.06), "c": pytest.approx(0.06)}
+    df = spark.createDataFrame([("f", "a", 0.004), ("f", "b", 0.02), ("f", "c", 0.013), ("f", "d", 0.3), ("g", "a", 0.5)], "family string, label string, p_value double")
+    got = {(r.family, r.label): r.holm_p for r in T.holm(df).collect()}
+    assert got == {("f", "a"): pytest.approx(0.016), ("f", "b"): pytest.approx(0.04), ("f", "c"): pytest.approx(0.039), ("f", "d"): pytest.approx(0.3),
+                   ("g", "a"): pytest.approx(0.5)}
 
 
 @pytest.mark.parametrize("b, c", [(0, 0), (1, 0), (5, 5), (3, 12), (40, 61), (700, 640), (20, 0), (120000, 121500)])
