@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 from contextlib import contextmanager
 from functools import reduce
@@ -13,6 +14,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Lo
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression,
                                    LinearRegression, RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -20,7 +22,6 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyridge.functions.hashing import md5_key
 from tallyridge.operators import features as E
 from tallyridge.operators.metrics import cells, rates
 from tallyridge.operators.scoring import operational
@@ -43,108 +44,126 @@ def held(df: DataFrame):
 # ---------------------------------------------------------------- pipeline parts
 
 
+def _param(name: str, doc: str, kind) -> Param:
+    return Param(Params._dummy(), name, doc, typeConverter=kind)
+
+
 class ZeroToNull(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Zero measurements become unknown."""
 
+    columns = _param("columns", "measures", TypeConverters.toListString)
+
     def __init__(self, columns=("stem_height", "stem_width")):
         super().__init__()
-        self.columns = tuple(columns)
+        self._set(columns=list(columns))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumns({c: F.nullif(F.col(c), F.lit(0.0)) for c in self.columns})
+        return dataset.withColumns({c: F.nullif(F.col(c), F.lit(0.0)) for c in self.getOrDefault(self.columns)})
 
 
 class Geometry(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Adds the two shape ratios."""
 
+    names = _param("names", "columns of cap diameter, stem height and stem width", TypeConverters.toListString)
+
     def __init__(self, cap="cap_diameter", height="stem_height", width="stem_width"):
         super().__init__()
-        self.names = (cap, height, width)
+        self._set(names=[cap, height, width])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return E.geometry(dataset, *self.names)
+        return E.geometry(dataset, *self.getOrDefault(self.names))
 
 
 class DropColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Hides columns from the model without asking callers to leave them out."""
 
+    columns = _param("columns", "columns to hide", TypeConverters.toListString)
+
     def __init__(self, columns=()):
         super().__init__()
-        self.columns = tuple(columns)
+        self._set(columns=list(columns))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return E.column_subset(dataset, self.columns)
+        return E.column_subset(dataset, self.getOrDefault(self.columns))
 
 
-class FittedImputer(Estimator):
+class FittedImputer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Training medians for measures; training mode or a constant level for categories."""
 
+    measures = _param("measures", "numeric columns", TypeConverters.toListString)
+    categories = _param("categories", "text columns", TypeConverters.toListString)
+    constant = _param("constant", "level of unknown categories", TypeConverters.toString)
+
     @keyword_only
     def __init__(self, *, measures=(), categories=(), constant=None):
         super().__init__()
-        self.measures, self.categories, self.constant = tuple(measures), tuple(categories), constant
+        self._set(measures=list(measures), categories=list(categories), **({} if constant is None else {"constant": constant}))
 
     def _fit(self, dataset: DataFrame) -> "FittedImputerModel":
         values: dict = {}
-        if self.measures:
-            values |= {r["column"]: r["median"] for r in E.fitted_medians(dataset, list(self.measures)).collect()}
-        if self.constant is not None:
-            values |= {c: self.constant for c in self.categories}
-        elif self.categories:
-            values |= {r["column"]: r["mode"] for r in E.modes(dataset, list(self.categories)).collect()}
-            values |= {c: "missing" for c in self.categories if c not in values}
+        measures, categories = (self.getOrDefault(p) for p in (self.measures, self.categories))
+        if measures:
+            values |= {r["column"]: r["median"] for r in E.fitted_medians(dataset, measures).collect()}
+        if self.isDefined(self.constant):
+            values |= {c: self.getOrDefault(self.constant) for c in categories}
+        elif categories:
+            values |= {r["column"]: r["mode"] for r in E.modes(dataset, categories).collect()}
+            values |= {c: "missing" for c in categories if c not in values}
         return FittedImputerModel(values)
 
 
-class FittedImputerModel(Model):
-    def __init__(self, values: dict):
+class FittedImputerModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """The fitted values, one per column, as a JSON parameter."""
+
+    values = _param("values", "fill value of each column, as JSON", TypeConverters.toString)
+
+    def __init__(self, values: dict | None = None):
         super().__init__()
-        self.values = values
+        self._set(values=json.dumps(values or {}))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.fillna({k: v for k, v in self.values.items() if v is not None})
+        return dataset.fillna({k: v for k, v in json.loads(self.getOrDefault(self.values)).items() if v is not None})
 
 
-class OperationalRegressor(Estimator):
-    """A regressor whose predictions are clipped at zero and zero in the clock gap."""
-
-    def __init__(self, stages, label="rides", output="predicted_rides"):
-        super().__init__()
-        self.stages, self.label, self.output = list(stages), label, output
+class Operational(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Clips a column of predictions at zero, makes it zero in the clock gap, and drops the columns in between."""
 
-    def _fit(self, dataset: DataFrame) -> "OperationalModel":
-        return OperationalModel(Pipeline(stages=self.stages).fit(dataset), self.output)
+    source = _param("source", "column of raw predictions", TypeConverters.toString)
+    output = _param("output", "column of the final predictions", TypeConverters.toString)
 
-
-class OperationalModel(Model):
-    def __init__(self, inner: PipelineModel, output: str):
+    def __init__(self, source="prediction", output="predicted_rides"):
         super().__init__()
-        self.inner, self.output = inner, output
+        self._set(source=source, output=output)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        scored = self.inner.transform(dataset)
-        return scored.withColumn(self.output, operational(F.col("prediction"), F.col("clock_hours"))).drop(
-            "prediction", *[c for c in ("features", "raw_features") if c not in dataset.columns])
+        source = self.getOrDefault(self.source)
+        out = dataset.withColumn(self.getOrDefault(self.output), operational(F.col(source), F.col("clock_hours")))
+        return out.drop("prediction", "features", "raw_features")
 
 
-class SeasonalNaive(Estimator):
-    """Last week's value; nothing to learn."""
+class RidgeRegression(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Squared loss with the L2 weight ``alpha`` spread over the rows that are fitted."""
+
+    alpha = _param("alpha", "L2 weight of the whole sum of squares", TypeConverters.toFloat)
+    label = _param("label", "column to learn", TypeConverters.toString)
 
-    def __init__(self, output="predicted_rides"):
+    def __init__(self, alpha: float = 10.0, label: str = "rides"):
         super().__init__()
-        self.output = output
+        self._set(alpha=alpha, label=label)
 
-    def _fit(self, dataset: DataFrame) -> "SeasonalNaiveModel":
-        return SeasonalNaiveModel(self.output)
+    def _fit(self, dataset: DataFrame) -> Model:
+        weight = self.getOrDefault(self.alpha) / max(dataset.count(), 1)
+        return LinearRegression(labelCol=self.getOrDefault(self.label), elasticNetParam=0.0, regParam=weight, standardization=False).fit(dataset)
 
 
-class SeasonalNaiveModel(Model):
-    def __init__(self, output: str):
-        super().__init__()
-        self.output = output
+def operational_regressor(stages, output: str = "predicted_rides") -> Pipeline:
+    """The stages and the rules that make their predictions operational; fitted, it can be saved and loaded."""
+    return Pipeline(stages=[*stages, Operational("prediction", output)])
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn(self.output, operational(F.col("lag_7d"), F.col("clock_hours")))
+
+def seasonal_naive(output: str = "predicted_rides") -> Pipeline:
+    """Last week's value; nothing to learn."""
+    return Pipeline(stages=[Operational("lag_7d", output)])
 
 
 class MacroF1(Evaluator):
@@ -174,33 +193,32 @@ def scaled(columns) -> list:
             StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)]
 
 
-def ridge(columns, rows: int, alpha: float = 10.0, label: str = "rides") -> OperationalRegressor:
-    """Squared loss with L2 weight ``alpha`` spread over the rows, on scaled features."""
-    model = LinearRegression(labelCol=label, elasticNetParam=0.0, regParam=alpha / max(rows, 1), standardization=False)
-    return OperationalRegressor([*scaled(columns), model], label)
+def ridge(columns, alpha: float = 10.0, label: str = "rides") -> Pipeline:
+    """Squared loss with L2 weight ``alpha`` spread over the rows of each fit, on scaled features."""
+    return operational_regressor([*scaled(columns), RidgeRegression(alpha, label)])
 
 
-def forest_regressor(columns, trees: int = 160, depth: int = 16, leaf: int = 8, share: str = "0.8", label: str = "rides") -> OperationalRegressor:
+def forest_regressor(columns, trees: int = 160, depth: int = 16, leaf: int = 8, share: str = "0.8", label: str = "rides") -> Pipeline:
     model = RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf,
                                   featureSubsetStrategy=share, seed=SEED, maxMemoryInMB=512)
-    return OperationalRegressor([*assembled(columns), model], label)
+    return operational_regressor([*assembled(columns), model])
 
 
-def boosted_regressor(columns, rounds: int = 50, depth: int = 5, step: float = 0.1, loss: str = "squared", label: str = "rides") -> OperationalRegressor:
+def boosted_regressor(columns, rounds: int = 50, depth: int = 5, step: float = 0.1, loss: str = "squared", label: str = "rides") -> Pipeline:
     model = GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, lossType=loss, seed=SEED)
-    return OperationalRegressor([*assembled(columns), model], label)
+    return operational_regressor([*assembled(columns), model])
 
 
-def poisson_regressor(columns, label: str = "rides") -> OperationalRegressor:
-    return OperationalRegressor([*scaled(columns), GeneralizedLinearRegression(labelCol=label, family="poisson", link="log", regParam=0.01)], label)
+def poisson_regressor(columns, label: str = "rides") -> Pipeline:
+    return operational_regressor([*scaled(columns), GeneralizedLinearRegression(labelCol=label, family="poisson", link="log", regParam=0.01)])
 
 
-def huber_regressor(columns, label: str = "rides") -> OperationalRegressor:
-    return OperationalRegressor([*scaled(columns), LinearRegression(labelCol=label, loss="huber", standardization=False)], label)
+def huber_regressor(columns, label: str = "rides") -> Pipeline:
+    return operational_regressor([*scaled(columns), LinearRegression(labelCol=label, loss="huber", standardization=False)])
 
 
-def tree_regressor(columns, depth: int = 5, leaf: int = 8, label: str = "rides") -> OperationalRegressor:
-    return OperationalRegressor([*assembled(columns), DecisionTreeRegressor(labelCol=label, maxDepth=depth, minInstancesPerNode=leaf, seed=SEED)], label)
+def tree_regressor(columns, depth: int = 5, leaf: int = 8, label: str = "rides") -> Pipeline:
+    return operational_regressor([*assembled(columns), DecisionTreeRegressor(labelCol=label, maxDepth=depth, minInstancesPerNode=leaf, seed=SEED)])
 
 
 def encoders(measures, categories, unknown: str | None = None) -> list:
@@ -346,7 +364,3 @@ def shuffled_labels(df: DataFrame, row: str, label: str, seed="control") -> Data
 
 def as_vector(columns) -> Column:
     return array_to_vector(F.array(*[F.col(c).cast("double") for c in columns]))
-
-
-def stable_row_id(columns) -> Column:
-    return md5_key(*[F.col(c) for c in columns])

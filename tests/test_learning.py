@@ -23,8 +23,8 @@ def frame(spark):
 def test_regressors_beat_the_naive_model_and_repeat(frame):
     cut = F.expr("day < timestamp_ntz'2024-01-24'")
     train, valid = frame.where(cut), frame.where(~cut)
-    naive = L.rmse_of(L.SeasonalNaive().fit(train), valid)
-    ridge = L.ridge(S.FEATURES, train.count()).fit(train)
+    naive = L.rmse_of(L.seasonal_naive().fit(train), valid)
+    ridge = L.ridge(S.FEATURES).fit(train)
     assert L.rmse_of(ridge, valid) < naive
     forests = [L.forest_regressor(S.FEATURES, trees=10, depth=6).fit(train) for _ in range(2)]
     assert L.rmse_of(forests[0], valid) == L.rmse_of(forests[1], valid) < naive
@@ -33,13 +33,13 @@ def test_regressors_beat_the_naive_model_and_repeat(frame):
 
 def test_chronological_cv_and_selection(frame):
     folds = P.chronological_folds(frame, 2, 3)
-    table = L.best_configuration(frame, folds, {"ridge": lambda: L.ridge(S.FEATURES, 200), "naive": lambda: L.SeasonalNaive()})
+    table = L.best_configuration(frame, folds, {"ridge": lambda: L.ridge(S.FEATURES), "naive": lambda: L.seasonal_naive()})
     assert [r["selected"] for r in table] == [True, False]
 
 
 def test_importance_finds_the_used_feature(frame, spark):
     df = frame.withColumn("rides", F.col("hour_sin") * 10 + 50)
-    model = L.ridge(["hour_sin", "weekday_sin"], df.count(), alpha=0.001).fit(df)
+    model = L.ridge(["hour_sin", "weekday_sin"], alpha=0.001).fit(df)
     got = {r.feature: r.importance for r in L.permutation_importance(model, df, "timestamp", ["hour_sin", "weekday_sin"], repeats=2).collect()}
     assert got["hour_sin"] > 1 and abs(got["weekday_sin"]) < 0.1
 
@@ -80,6 +80,33 @@ def test_pipeline_parts(spark):
     assert row.stem_height is None and row.cap_to_stem_height is None and "noise" not in row.asDict()
 
 
+def test_fitted_pipelines_survive_storage(spark, frame, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    rows = spark.createDataFrame([(i, 2.0 * i, 0.0 if i % 3 else 3.0, 1.0 + i % 4, "ab"[i % 2], "noise", i % 2) for i in range(40)],
+                                 "row_id int, cap_diameter double, stem_height double, stem_width double, kind string, veil string, y int")
+    df = L.balanced_weight(rows)
+    before = [L.ZeroToNull(["stem_height"]), L.Geometry(), L.DropColumns(["veil"])]
+    model = L.classifier("decision_tree", ["cap_diameter", "stem_height"], ["kind"], before, unknown="missing").fit(df)
+    model.write().overwrite().save(str(tmp_path / "c"))
+    again = PipelineModel.load(str(tmp_path / "c"))
+    assert "veil" not in again.transform(df).columns
+    one, two = (sorted(map(tuple, L.score_classifier(m, df, ["row_id"]).collect())) for m in (model, again))
+    assert one == two
+    for estimator in (L.ridge(S.FEATURES), L.forest_regressor(S.FEATURES, trees=5, depth=4), L.seasonal_naive()):
+        fitted = estimator.fit(frame)
+        fitted.write().overwrite().save(str(tmp_path / "r"))
+        stored = PipelineModel.load(str(tmp_path / "r"))
+        assert L.rmse_of(stored, frame) == L.rmse_of(fitted, frame)
+
+
+def test_ridge_weight_follows_the_rows_of_the_fit(frame):
+    half = frame.where("hour(timestamp) < 12")
+    for rows in (frame, half):
+        model = L.ridge(["lag_7d"]).fit(rows).stages[2]
+        assert model.getOrDefault("regParam") == pytest.approx(10.0 / rows.count())
+
+
 def test_nearest_values_equal_brute_force(spark):
     rng = np.random.default_rng(7)
     known = [([int(x) for x in rng.integers(0, 3, 6)], str(rng.choice(["r", "g"]))) for _ in range(60)]
