@@ -247,7 +247,7 @@ def join(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
     found = components(links)
     labels = nodes.where("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("least"))
     rooted = labels.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.withColumn("component_id", F.min("least").over(Window.partitionBy("root")))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
     return (nodes.select("doc_id", "n_shingles", "node", "check")
             .join(named.select("node", "check", "n_shingles", "component_id"), ["node", "check", "n_shingles"], "left")
             .select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
