@@ -12,7 +12,7 @@ blocks are compared by different tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -119,8 +119,8 @@ def _meetings(size: int, num: int, den: int):
     return run
 
 
-def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num: int, den: int) -> Iterator[tuple[int, int]]:
-    """Pairs (of ``left`` x ``right`` indexes) with ``den * intersection >= num * union``.
+def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (of different ``left`` and ``right`` indexes) with ``den * intersection >= num * union``.
 
     Columns are the tokens that several sets have. A row opens the other side only if its overlap with that side's
     token union reaches ``num / den`` of it.
@@ -141,7 +141,7 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num: int
 
     left, right = opened(left, right), opened(right, left)
     if not len(left) or not len(right):
-        return
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     common = np.zeros((len(left), len(right)), np.float32)
@@ -159,12 +159,12 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num: int
         common += sides[0] @ sides[1].T
     common = common.astype(np.int64)
     union = sizes[left][:, None] + sizes[right][None, :] - common
-    for a, b in zip(*np.nonzero(common * den >= num * union)):
-        if left[a] != right[b]:
-            yield int(left[a]), int(right[b])
+    a, b = np.nonzero(common * den >= num * union)
+    a, b = left[a], right[b]
+    return a[a != b], b[a != b]
 
 
-def forest(pairs: Iterator[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+def forest(pairs: Iterable[tuple[int, int]], n: int) -> list[tuple[int, int]]:
     """A spanning forest of the pairs."""
     up, out = list(range(n)), []
 
@@ -183,11 +183,12 @@ def forest(pairs: Iterator[tuple[int, int]], n: int) -> list[tuple[int, int]]:
 
 
 def join(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: the size of its shingle set and the smallest id reachable by links.
+    """(doc_id, n_shingles, component_id, n_links) of every row: the size of its shingle set, the smallest id reachable by
+    links, and the number of other rows it is linked with.
 
     A-Z is lower-cased and words are runs of anything but ASCII white space. Sets link when ``den * intersection >=
     num * union``; a row without words or text links with nothing. Rows with one id are told apart by their sets, but
-    reach each other's links only through links. A row with a null id has a null component and links nothing. Other
+    reach each other's links only through links. A row with a null id has a null component and links nothing (it has 0 links). Other
     columns are ignored.
     """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
@@ -202,7 +203,7 @@ def join(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
     grouped = components(meetings)
     grouped = staged(grouped.unionByName(grouped.select(F.col("root").alias("node"), "root").distinct()))
 
-    known = nodes.where("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
+    known = nodes.where("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.count("doc_id").alias("copies"))
     members = known.where("doc_id IS NOT NULL").join(grouped, "node")
     shape = members.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("n_shingles").alias("tokens"))
     blocks = shape.where("m > 1").select("root", F.greatest(F.ceil(F.col("m") / BLOCK_MEMBERS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int").alias("blocks"))
@@ -220,13 +221,13 @@ def join(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
                                              [*batch.drop_columns(["text"]).schema.names, "tokens"])
             yield out.filter(mine)
 
-    held = (texts.select("node", "root", "blocks", "block", "check", "text")
-            .mapInArrow(sets, "node long, root long, blocks int, block int, check long, tokens array<long>").drop("check"))
+    held = (texts.select("node", "root", "blocks", "block", "check", "copies", "text")
+            .mapInArrow(sets, "node long, root long, blocks int, block int, check long, copies long, tokens array<long>").drop("check"))
     # A block meets every block of its group: as (i, j) with i <= j it is needed once for each other one.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = (held.withColumn("__other", other).withColumn("i", F.least("block", "__other")).withColumn("j", F.greatest("block", "__other"))
              .withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(tasks))).otherwise(F.xxhash64("root", "i", "j")))
-             .select("task", "root", "i", "j", "block", "node", "tokens"))
+             .select("task", "root", "i", "j", "block", "node", "copies", "tokens"))
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by([("root", "ascending"), ("i", "ascending"), ("j", "ascending"), ("node", "ascending")])
@@ -234,20 +235,32 @@ def join(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
         cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
         tokens, names, block = table["tokens"].combine_chunks(), table["node"].to_numpy(), table["block"].to_numpy()
         flat, ends = tokens.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(tokens.value_lengths().to_numpy())))
-        out: list[tuple] = []
+        copies, edges, links = table["copies"].to_numpy(), [], []
         for a, b in zip([0, *cuts], [*cuts, table.num_rows]):
             own = [flat[ends[k]:ends[k + 1]] for k in range(a, b)]
             i, j = key[1, a], key[2, a]
             left, right = (np.flatnonzero(block[a:b] == x) for x in (i, j))
-            if len(left) and len(right):
-                out += [(names[a + x], names[a + y]) for x, y in forest(linked(own, left, right, num, den), b - a)]
-        return pa.table([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
-
-    links = pairs.groupBy("task").applyInArrow(compare, "a long, b long")
-    found = components(links)
-    labels = nodes.where("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("least"))
-    rooted = labels.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            if not len(left) or not len(right):
+                continue
+            x, y = linked(own, left, right, num, den)
+            number = np.bincount(x, copies[a:b][y], b - a)
+            if i != j:
+                number += np.bincount(y, copies[a:b][x], b - a)
+            some = np.flatnonzero(number)
+            links += zip(names[a:b][some].tolist(), number[some].astype(np.int64).tolist())
+            edges += [(names[a + u], names[a + v]) for u, v in forest(zip(x.tolist(), y.tolist()), b - a)]
+        return pa.table([pa.array([u for u, _ in (*edges, *links)], pa.int64()), pa.array([v for _, v in edges] + [None] * len(links), pa.int64()),
+                         pa.array([None] * len(edges) + [n for _, n in links], pa.int64())], ["a", "b", "links"])
+
+    # Of the links only a spanning forest of each pair of blocks leaves the task, and their number per node.
+    results = staged(pairs.groupBy("task").applyInArrow(compare, "a long, b long, links long"))
+    found = components(results.where("b IS NOT NULL").select("a", "b"))
+    numbers = results.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("__links"))
+    labels = nodes.where("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("least"), F.count("doc_id").alias("copies"))
+    rooted = labels.join(found, "node", "left").join(numbers, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
+    known_row = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    n_links = F.when(known_row, F.col("copies") - 1 + F.coalesce("__links", F.lit(0))).otherwise(F.lit(0))
     return (nodes.select("doc_id", "n_shingles", "node", "check")
-            .join(named.select("node", "check", "n_shingles", "component_id"), ["node", "check", "n_shingles"], "left")
-            .select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+            .join(named.select("node", "check", "n_shingles", "component_id", "copies", "__links"), ["node", "check", "n_shingles"], "left")
+            .select("doc_id", "n_shingles", F.when(known_row, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), n_links.alias("n_links")))

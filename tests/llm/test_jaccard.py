@@ -27,11 +27,15 @@ def brute(rows, size, num, den):
         for b, (j, y) in enumerate(sets[:a]):
             if x and y and i is not None and j is not None and den * len(x & y) >= num * len(x | y):
                 up[root(a)] = root(b)
+    links = [0] * len(sets)
+    for a, (i, x) in enumerate(sets):
+        for b, (j, y) in enumerate(sets):
+            links[a] += a != b and bool(x and y) and i is not None and j is not None and den * len(x & y) >= num * len(x | y)
     least = {}
     for a, (i, _) in enumerate(sets):
         if i is not None:
             least[root(a)] = min(i, least.get(root(a), i))
-    return sorted(((i, len(s), None if i is None else least[root(a)] if s else i) for a, (i, s) in enumerate(sets)), key=repr)
+    return sorted(((i, len(s), None if i is None else least[root(a)] if s else i, links[a]) for a, (i, s) in enumerate(sets)), key=repr)
 
 
 def corpus(seed, n=150):
