@@ -207,10 +207,11 @@ def inconsistent_fields(df: DataFrame, columns, key: str = TRIPS.ride_id) -> Dat
     return one.unpivot([], list(columns), "column", "ids")
 
 
-def proof_conflicts(df: DataFrame, cols: TripColumns = TRIPS) -> DataFrame:
-    """Ids that still disagree once serialisation and clock precision are neutralised."""
+def proof_conflicts(df: DataFrame, cols: TripColumns = TRIPS, alias_precision: bool = True) -> DataFrame:
+    """Ids that still disagree once serialisation and, where allowed, clock precision are neutralised."""
     repeated = duplicate_rows(df, cols.ride_id)
-    return conflicting_ids(segment_normalised(repeated, time_alias_ids(df, cols), cols), CONTENT, cols.ride_id)
+    aliases = time_alias_ids(repeated, cols) if alias_precision else df.select(cols.ride_id).where("false")
+    return conflicting_ids(segment_normalised(repeated, aliases, cols), CONTENT, cols.ride_id)
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

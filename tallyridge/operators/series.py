@@ -25,13 +25,19 @@ def hourly_demand(trips: DataFrame, cols: TripColumns = TRIPS) -> DataFrame:
     )
 
 
-def present_months(hours: DataFrame, cols: SeriesColumns = SERIES) -> DataFrame:
+def present_months(hours: DataFrame, cols: SeriesColumns = SERIES, sources: DataFrame | None = None) -> DataFrame:
+    """(area, month) of the source partitions; without a list of them, of the counted hours."""
+    if sources is not None:
+        return sources.select(cols.area, clock.trunc("month", F.col("month").cast("timestamp_ntz")).alias("month")).distinct()
     return hours.select(cols.area, clock.trunc("month", F.col(cols.timestamp)).alias("month")).distinct()
 
 
-def calendar_fill(hours: DataFrame, cols: SeriesColumns = SERIES) -> DataFrame:
+def calendar_fill(hours: DataFrame, cols: SeriesColumns = SERIES, sources: DataFrame | None = None) -> DataFrame:
     """Zero-fill inside the months that are present; absent months stay absent.
 
+    ``sources`` (area, month) lists the source partitions: one of them without any counted hour is zero throughout, and
+    counted hours outside them are left out. Without it, the months that have counted hours are the present ones.
+
     Each hour stretches to the label before the next one of its month (the first one also
     back to the start of the month), so the counts are read once and nothing is joined.
     """
@@ -43,7 +49,14 @@ def calendar_fill(hours: DataFrame, cols: SeriesColumns = SERIES) -> DataFrame:
     bounded = rows.select(cols.area, ts.alias("__at"), cols.value, start.alias("__from"), stop.alias("__to"))
     spread = bounded.select("*", F.explode(F.sequence("__from", "__to", hour)).alias(cols.timestamp))
     zero = F.lit(0).cast(hours.schema[cols.value].dataType)
-    return spread.select(cols.area, cols.timestamp, F.when(ts == F.col("__at"), F.col(cols.value)).otherwise(zero).alias(cols.value))
+    filled = spread.select(cols.area, cols.timestamp, F.when(ts == F.col("__at"), F.col(cols.value)).otherwise(zero).alias(cols.value))
+    if sources is None:
+        return filled
+    known = present_months(hours, cols, sources)
+    silent = known.join(present_months(hours, cols), [cols.area, "month"], "left_anti")
+    empty = silent.select(cols.area, F.explode(F.sequence(F.col("month"), F.col("month") + F.expr("INTERVAL 1 MONTH") - hour, hour)).alias(cols.timestamp), zero.alias(cols.value))
+    inside = filled.withColumn("month", clock.trunc("month", ts)).join(known, [cols.area, "month"], "left_semi").drop("month")
+    return inside.unionByName(empty)
 
 
 def fill_days(counts: DataFrame, day: str, value: str) -> DataFrame:
@@ -71,9 +84,11 @@ def month_coverage(months: DataFrame, area: str = "area", month: str = "month")
         F.sum(F.size("gap")).alias("missing_count"), F.array_join(missing, ",").alias("missing_months"))
 
 
-def require_gapless(hours: DataFrame, cols: SeriesColumns = SERIES) -> DataFrame:
-    """Stop on a missing month; unknown counts are never filled with zero."""
-    bad = month_coverage(present_months(hours, cols), cols.area).where("missing_count > 0").take(1)
+def require_gapless(hours: DataFrame, cols: SeriesColumns = SERIES, sources: DataFrame | None = None) -> DataFrame:
+    """Stop on a missing month; unknown counts are never filled with zero. With ``sources``, so is an hour outside them."""
+    if sources is not None and (stray := present_months(hours, cols).join(present_months(hours, cols, sources), [cols.area, "month"], "left_anti").take(1)):
+        raise ValueError(f"hours of {stray[0][cols.area]} outside the source months")
+    bad = month_coverage(present_months(hours, cols, sources), cols.area).where("missing_count > 0").take(1)
     if bad:
         raise ValueError(f"missing source months for {bad[0][cols.area]}: {bad[0].missing_months}")
     return hours

@@ -28,6 +28,7 @@ LOCAL_WORK = "/tmp/tallyridge-work"  # of sessions in one process without spark.
 
 HEADER = "ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,member_casual"
 ROWS_PER_ARCHIVE = 2000
+AREAS = ((r"^JC[- ]", "JC"),)
 
 
 def _uri(folder: str) -> str:
@@ -73,7 +74,7 @@ SELECT area, period, nested, representation, member, 7::INT AS columns, CAST(NUL
   SELECT DISTINCT 'JC' AS area, '2024-01' AS period, CASE WHEN (event_id // 2000) % 3 = 0 THEN 'JC-202401.zip' END AS nested, '.' AS representation,
     'JC-202401-' || (event_id // 2000) || '_' || (event_id % 2 + 1) || '.csv' AS member FROM events)""")
 def _(v):
-    rows = Z.inventory(v.spark, archive_folder(v))
+    rows = Z.inventory(v.spark, archive_folder(v), AREAS)
     return rows.select("area", "period", "nested", "representation", "member", F.size("columns").alias("columns"), "problem")
 
 
@@ -81,8 +82,8 @@ def _(v):
 SELECT ride_id, rideable_type, strftime(started_at, '%Y-%m-%d %H:%M:%S.%f') AS started_at, strftime(ended_at, '%Y-%m-%d %H:%M:%S.%f') AS ended_at, start_station_name, start_station_id, member_casual,
   CAST(NULL AS VARCHAR) AS bike_id, 'JC' AS area, '2024-01' AS period FROM trips""")
 def _(v):
-    rows = Z.require_sound(Z.inventory(v.spark, archive_folder(v)))
-    return Z.scan(rows, slice_bytes=1 << 14).select("ride_id", "rideable_type", "started_at", "ended_at", "start_station_name", "start_station_id",
+    rows = Z.require_sound(Z.inventory(v.spark, archive_folder(v), AREAS))
+    return Z.scan(rows).select("ride_id", "rideable_type", "started_at", "ended_at", "start_station_name", "start_station_id",
                                                      "member_casual", "bike_id", "area", "period")
 
 
@@ -115,7 +116,7 @@ SELECT event_id, CASE WHEN regexp_matches(base, '^JC[- ]') THEN 'JC' END AS area
   CASE WHEN event_id % 3 = 0 THEN '2024-01' WHEN event_id % 3 = 1 THEN '1999-12' END AS period, CASE WHEN event_id % 3 = 2 THEN 'conflicting periods' END AS problem FROM b""")
 def _(v):
     period, problem = Z.member_period(F.col("member"), F.lit("1999-12"))
-    return names(v).select("event_id", Z.source_area(Z.base_name(F.col("member"))).alias("area"), period.alias("period"), problem.alias("problem"))
+    return names(v).select("event_id", Z.source_area(Z.base_name(F.col("member")), AREAS).alias("area"), period.alias("period"), problem.alias("problem"))
 
 
 @query("src_logical_groups", f"""

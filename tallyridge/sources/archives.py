@@ -34,10 +34,10 @@ ALIASES = {
     "end_station_latitude": "end_lat", "end_station_longitude": "end_lng",
     "bikeid": "bike_id", "usertype": "member_casual", "user_type": "member_casual",
 }
+# Texts that stand for null.
 NULL_MARKERS = ["", "NULL", "null", "\\N"]
 REQUIRED = ("started_at", "ended_at")
-# Archive name patterns and the area they stand for, first match wins.
-AREA_PATTERNS = ((r"^JC[- ]", "JC"), (r"^20\d{2}(?:\d{2})?-[a-z]+-tripdata\.zip$", "NYC"))
+# Periods in names, and names of the parts of a whole file.
 PERIOD = r"(?<!\d)(20\d{2})(0[1-9]|1[0-2])(?!\d)"
 PART_FILE = r"(?i)(?:_\d+|-part\d+)\.csv$"
 
@@ -77,8 +77,8 @@ def useful_member(name: Column) -> Column:
     return ~name.startswith("__MACOSX/") & ~base_name(name).startswith(".")
 
 
-def source_area(name: Column, patterns=AREA_PATTERNS) -> Column:
-    """Area of an archive name; null when no pattern fits."""
+def source_area(name: Column, patterns) -> Column:
+    """Area of an archive name by the first of the (pattern, area) pairs that fits; null when none does."""
     out = None
     for pattern, area in patterns:
         out = F.when(name.rlike(pattern), area) if out is None else out.when(name.rlike(pattern), area)
@@ -173,7 +173,7 @@ def list_archives(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", F.col("length").alias("bytes"))
 
 
-def inventory(spark: SparkSession, folder: str, patterns=AREA_PATTERNS) -> DataFrame:
+def inventory(spark: SparkSession, folder: str, patterns) -> DataFrame:
     """One row per CSV member with area, period, representation, schema and problems."""
     members = _spread(list_archives(spark, folder), "path").mapInPandas(_list_members, MEMBER_SCHEMA)
     archive = base_name(F.col("path"))
@@ -212,29 +212,12 @@ def work_items(rows: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- scan
 
 
-def member_slices(rows: DataFrame, slice_bytes: int = 1 << 30) -> DataFrame:
-    """Cut large members into byte ranges of the unpacked text, one task each."""
-    n = F.greatest(F.ceil(F.col("member_bytes") / slice_bytes), F.lit(1)).cast("int")
-    cut = rows.withColumn("i", F.explode(F.sequence(F.lit(0), n - 1)))
-    return cut.withColumns({"start": F.col("i").cast("bigint") * slice_bytes, "stop": (F.col("i").cast("bigint") + 1) * slice_bytes}).drop("i")
-
-
-def line_blocks(stream, start: int, stop: int, block: int = BLOCK) -> Iterator[bytes]:
-    """Whole lines that begin in the slice; a line that begins at ``start`` > 0 belongs to the slice before."""
-    at = 0
-    while at < start:
-        got = stream.read(min(block, start - at))
-        if not got:
-            return
-        at += len(got)
-    at += len(stream.readline())
-    while at <= stop:
-        got = stream.read(min(block, stop - at + 1))
-        if not got:
-            return
+def line_blocks(stream, block: int = BLOCK) -> Iterator[bytes]:
+    """The text after the header line, in blocks of whole lines."""
+    stream.readline()
+    while got := stream.read(block):
         if not got.endswith(b"\n"):
             got += stream.readline()
-        at += len(got)
         yield got
 
 
@@ -245,34 +228,36 @@ def _parse(block: bytes, names: list[str]) -> pa.Table:
         pacsv.ConvertOptions(column_types={n: pa.string() for n in names}, strings_can_be_null=True, null_values=NULL_MARKERS))
 
 
-def _read_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     carry = ("area", "period", "path", "nested", "member", "representation")
     for batch in batches:
         for job in batch.to_pylist():
             with _open(job["path"]) as raw, zipfile.ZipFile(raw) as outer:
                 if job["nested"] is None:
-                    yield from _slice_rows(outer, job, carry)
+                    yield from _member_rows(outer, job, carry)
                 else:
                     with outer.open(job["nested"]) as inner, zipfile.ZipFile(inner) as archive:
-                        yield from _slice_rows(archive, job, carry)
+                        yield from _member_rows(archive, job, carry)
 
 
-def _slice_rows(archive: zipfile.ZipFile, job: dict, carry) -> Iterator[pa.RecordBatch]:
+def _member_rows(archive: zipfile.ZipFile, job: dict, carry) -> Iterator[pa.RecordBatch]:
     names = [canonical_name(n) for n in next(csv.reader([job["header"]]))]
     with archive.open(job["member"]) as stream:
-        for block in line_blocks(stream, job["start"], job["stop"]):
+        for block in line_blocks(stream):
             table = _parse(block, names)
             columns = [table[c] if c in names else pa.nulls(table.num_rows, pa.string()) for c in CANONICAL_TRIP_COLUMNS]
             tags = [pa.array([job[c]] * table.num_rows, pa.string()) for c in carry]
             yield from pa.Table.from_arrays([*columns, *tags], names=[*CANONICAL_TRIP_COLUMNS, *carry]).to_batches()
 
 
-def scan(rows: DataFrame, slice_bytes: int = 1 << 30) -> DataFrame:
-    """All rows of the listed members as canonical text columns plus where they came from."""
-    need = ["path", "nested", "member", "header", "area", "period", "representation", "member_bytes"]
-    slices = _spread(member_slices(rows.select(*need), slice_bytes), "path", "nested", "member", "start")
+def scan(rows: DataFrame) -> DataFrame:
+    """All rows of the listed members as canonical text columns plus where they came from.
+
+    A deflated member can only be read from its start, so each is inflated once, by one task, in blocks of bounded size.
+    """
+    need = ["path", "nested", "member", "header", "area", "period", "representation"]
     schema = ", ".join(f"{c} string" for c in (*CANONICAL_TRIP_COLUMNS, "area", "period", "path", "nested", "member", "representation"))
-    return slices.mapInArrow(_read_slices, schema)
+    return _spread(rows.select(*need), "path", "nested", "member").mapInArrow(_read_members, schema)
 
 
 # ---------------------------------------------------------------- representations
@@ -288,9 +273,6 @@ def representation_faults(df: DataFrame, version: str, content, keys=("area", "p
 
 
 def keep_one_version(df: DataFrame, version: str, keys=("area", "period")) -> DataFrame:
-    """Rows of the first version of each work item.
-
-    The broadcast side has one row per (area, calendar month), whatever the row count.
-    """
+    """Rows of the first version of each work item."""
     first = df.groupBy(*keys).agg(F.min(version).alias(version))
-    return df.join(F.broadcast(first), [*keys, version], "left_semi")
+    return df.join(first, [*keys, version], "left_semi")

@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyridge.operators.dedup import signed_counts
 
 
-def write_partitioned(df: DataFrame, path: str, by=("area", "year", "month"), mode: str = "overwrite") -> None:
-    """ZSTD parquet, one folder per partition; overwriting replaces only the partitions written.
+def write_partitioned(df: DataFrame, path: str, by=("area", "year", "month"), mode: str = "overwrite", whole: bool = False) -> None:
+    """ZSTD parquet, one folder per partition; overwriting replaces only the partitions written, or the ``whole`` table.
 
     Rows are brought together by partition; the rebalance lets adaptive execution split a partition that holds most of
     the data over many tasks and merge small ones.
     """
     (df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).option("compression", "zstd")
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
+     .option("partitionOverwriteMode", "static" if whole else "dynamic").parquet(path))
 
 
 def write_report(df: DataFrame, path: str, kind: str = "csv") -> None:

@@ -99,4 +99,4 @@ def checked_receipts(receipts: DataFrame, actual: DataFrame, keys=("area", "peri
     """Receipts with ``intact``: does the stored output still have the recorded digest?"""
     now = actual.select(*keys, F.col("digest").alias("__now"))
     return receipts.join(now, list(keys), "left").withColumn(
-        "intact", F.coalesce(F.col("digest") == F.col("__now"), F.lit(False))).drop("__now")
+        "intact", F.col("digest") == F.coalesce("__now", F.lit("none"))).drop("__now")

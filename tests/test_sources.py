@@ -9,6 +9,8 @@ from tallyridge.plans.prepare import prepare
 from tallyridge.sources import archives as Z
 from tallyridge.sources import delimited, sinks, stages
 
+AREAS = ((r"^JC-", "JC"), (r"^(\d{4}|\d{6})-city-", "NYC"))
+
 MODERN = "ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,end_station_name,end_station_id,start_lat,start_lng,end_lat,end_lng,member_casual"
 LEGACY = "tripduration,starttime,stoptime,start station id,start station name,start station latitude,start station longitude,end station id,end station name,end station latitude,end station longitude,bikeid,usertype,birth year,gender"
 
@@ -52,7 +54,7 @@ def write(tmp_path, files):
 def test_nested_archive_and_junk_members(spark, tmp_path):
     inner = pack({"202401.csv": "﻿" + text(MODERN, modern(1), modern(2), eol="\r\n"), "__MACOSX/202401.csv": "junk", "._202401.csv": "junk"})
     src = write(tmp_path, {"2024-city-tripdata.zip": pack({"202401.zip": inner, "__MACOSX/x.zip": b"junk"})})
-    rows = Z.require_sound(Z.inventory(spark, src))
+    rows = Z.require_sound(Z.inventory(spark, src, AREAS))
     r = rows.collect()
     assert [(x.area, x.period, x.nested, x.member) for x in r] == [("NYC", "2024-01", "202401.zip", "202401.csv")]
     assert len(r[0].sha256) == 64 and r[0].crc > 0
@@ -62,18 +64,20 @@ def test_nested_archive_and_junk_members(spark, tmp_path):
     assert got[0].member_casual == "member"
 
 
-@pytest.mark.parametrize("slice_bytes", [1, 50, 97, 300, 1 << 20])
-def test_slices_read_every_row_once(spark, tmp_path, slice_bytes):
-    src = write(tmp_path, {"JC-202401-trips.zip": pack({"JC-202401.csv": text(MODERN, *[modern(i) for i in range(23)])})})
-    rows = Z.inventory(spark, src)
-    got = sorted(r.ride_id for r in Z.scan(rows, slice_bytes).collect())
-    assert got == sorted(f"r{i}" for i in range(23))
+@pytest.mark.parametrize("block", [1, 50, 97, 1 << 20])
+def test_blocks_read_every_row_once(spark, tmp_path, block):
+    body = text(MODERN, *[modern(i) for i in range(23)])
+    lines = body.splitlines(keepends=True) if isinstance(body, bytes) else body.encode().splitlines(keepends=True)
+    blocks = list(Z.line_blocks(io.BytesIO(b"".join(lines)), block))
+    assert b"".join(blocks) == b"".join(lines[1:]) and all(x.endswith(b"\n") for x in blocks[:-1])
+    src = write(tmp_path, {"JC-202401-trips.zip": pack({"JC-202401.csv": body})})
+    assert sorted(r.ride_id for r in Z.scan(Z.inventory(spark, src, AREAS)).collect()) == sorted(f"r{i}" for i in range(23))
 
 
 def test_null_markers(spark, tmp_path):
     body = text("started_at,ended_at,member_casual,bikeid,usertypex", "NULL,null,\\N,,x")
     src = write(tmp_path, {"JC-202401-trips.zip": pack({"JC-202401.csv": body})})
-    r = Z.scan(Z.inventory(spark, src)).first()
+    r = Z.scan(Z.inventory(spark, src, AREAS)).first()
     assert (r.started_at, r.ended_at, r.member_casual, r.bike_id) == (None, None, None, None)
 
 
@@ -86,14 +90,14 @@ def test_names(spark):
     assert got["x.csv"][1] == "no period" and got["20240101.csv"][1] == "no period"
     assert not got["__MACOSX/a.csv"][2] and not got["d/._a.csv"][2]
     areas = spark.createDataFrame([("JC-2024.zip",), ("202401-city-tripdata.zip",), ("other.zip",)], "n string")
-    assert [r[0] for r in areas.select(Z.source_area(F.col("n"))).collect()] == ["JC", "NYC", None]
+    assert [r[0] for r in areas.select(Z.source_area(F.col("n"), AREAS)).collect()] == ["JC", "NYC", None]
 
 
 def test_representations(spark, tmp_path):
     whole, parts = [legacy(), legacy()], [legacy()]
     same = pack({"201401-trips.csv": text(LEGACY, *whole), "201401-trips_1.csv": text(LEGACY, *parts), "201401-trips_2.csv": text(LEGACY, *parts)})
     src = write(tmp_path, {"201401-city-tripdata.zip": same})
-    rows = Z.inventory(spark, src)
+    rows = Z.inventory(spark, src, AREAS)
     assert sorted({r.representation for r in rows.collect()}) == [".::parts", ".::whole"]
     raw = Z.scan(rows)
     content = ["started_at", "ended_at", "bike_id"]
@@ -106,7 +110,7 @@ def test_representations(spark, tmp_path):
 def test_unsound_sources_stop(spark, tmp_path):
     src = write(tmp_path, {"JC-202401-trips.zip": pack({"JC-202401.csv": text("a,b", "1,2")})})
     with pytest.raises(ValueError, match="schema"):
-        Z.require_sound(Z.inventory(spark, src))
+        Z.require_sound(Z.inventory(spark, src, AREAS))
 
 
 def test_preparation_run_and_receipts(spark, tmp_path):
@@ -116,12 +120,12 @@ def test_preparation_run_and_receipts(spark, tmp_path):
         "202401-city-tripdata.zip": pack({"202401-trips.csv": text(MODERN, modern(1), modern(1), modern(2), modern(9, "2024-02-01"))}),
         "202402-city-tripdata.zip": pack({"202402-trips.csv": text(MODERN, modern(3, "2024-02-07"))})})
     out = str(tmp_path / "out")
-    receipts = prepare(spark, str(src), out)
+    receipts = prepare(spark, str(src), out, AREAS)
     trips = spark.read.parquet(f"{out}/trips")
     assert sorted((r.ride_id, r.year, r.month, r.valid_demand) for r in trips.collect()) == [
         ("r1", 2024, 1, True), ("r2", 2024, 1, True), ("r3", 2024, 2, True), ("r9", 2024, 2, True)]
     assert sorted((r.period, r["rows"]) for r in receipts.collect()) == [("2024-01", 2), ("2024-02", 2)]
-    work = Z.work_items(Z.inventory(spark, str(src)))
+    work = Z.work_items(Z.inventory(spark, str(src), AREAS))
     assert stages.pending_work(work, receipts).count() == 0
     old = receipts.withColumn("signature", F.when(F.col("period") == "2024-01", "other").otherwise(F.col("signature")))
     assert [r.period for r in stages.pending_work(work, old).collect()] == ["2024-01"]
@@ -129,6 +133,38 @@ def test_preparation_run_and_receipts(spark, tmp_path):
     assert sorted(r.ride_id for r in plan.collect()) == ["r3", "r9"]
 
 
+def test_rows_do_not_stay_where_they_have_moved_from(spark, tmp_path):
+    """A January archive with a February ride, then the February archive: the ride is in February only."""
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    src.mkdir()
+    write(src, {"202401-city-tripdata.zip": pack({"202401-trips.csv": text(MODERN, modern(9, "2024-02-01"))})})
+    prepare(spark, str(src), out, AREAS)
+    assert [(r.ride_id, r.month) for r in spark.read.parquet(f"{out}/trips").collect()] == [("r9", 1)]
+    write(src, {"202402-city-tripdata.zip": pack({"202402-trips.csv": text(MODERN, modern(3, "2024-02-07"))})})
+    receipts = prepare(spark, str(src), out, AREAS)
+    assert sorted((r.ride_id, r.month) for r in spark.read.parquet(f"{out}/trips").collect()) == [("r3", 2), ("r9", 2)]
+    assert [(r.source_month, r.target_month, r["rows"]) for r in spark.read.parquet(f"{out}/audit/moved").collect()] == [("2024-01", "2024-02", 1)]
+    assert sorted((r.period, r.digest == "none") for r in receipts.collect()) == [("2024-01", True), ("2024-02", False)]
+    before = {r.period: r.digest for r in receipts.collect()}
+    damaged = spark.read.parquet(f"{out}/trips").where("ride_id <> 'r3'").collect()
+    spark.createDataFrame(damaged, spark.read.parquet(f"{out}/trips").schema).write.mode("overwrite").partitionBy("area", "year", "month").parquet(f"{out}/trips")
+    again = prepare(spark, str(src), out, AREAS)
+    assert {r.period: r.digest for r in again.collect()} == before
+    assert spark.read.parquet(f"{out}/trips").where("ride_id = 'r3'").count() == 1
+
+
+def test_precision_aliases_only_in_declared_areas(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    fine = modern(1).replace("10:01:00", "10:01:00.250")
+    write(src, {"202401-city-tripdata.zip": pack({"202401-trips.csv": text(MODERN, modern(1))}),
+                "202402-city-tripdata.zip": pack({"202402-trips.csv": text(MODERN, fine)})})
+    with pytest.raises(ValueError, match="conflicting ids across"):
+        prepare(spark, str(src), str(tmp_path / "a"), AREAS)
+    prepare(spark, str(src), str(tmp_path / "b"), AREAS, alias_areas=("NYC",))
+    assert spark.read.parquet(str(tmp_path / "b" / "trips")).count() == 1
+
+
 def test_stage_scan_keeps_stages_apart_inside_a_month(spark, tmp_path):
     rows = spark.sql("""SELECT IF(id % 3 = 0, 'JC', 'NYC') AS area, id, timestamp_ntz'2023-12-20 00:00:00' + make_dt_interval(CAST(id AS INT)) AS started_at FROM range(60)""")
     rows = rows.withColumns({"year": F.year("started_at"), "month": F.month("started_at")})
