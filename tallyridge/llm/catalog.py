@@ -71,9 +71,34 @@ scores AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
+REPEATS_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+passages AS (SELECT doc_id, unnest(list_transform(range(1, len(ws) - 18), lambda i: {'start': i, 'h': sha256(array_to_string(ws[i:i + 19], ' '))})) AS p FROM w WHERE len(ws) >= 20),
+later AS (SELECT doc_id, start FROM (SELECT doc_id, p.start AS start, row_number() OVER (PARTITION BY p.h ORDER BY doc_id, p.start) AS place FROM passages) WHERE place > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS i FROM later),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+kept AS (SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) FILTER (WHERE gone.i IS NULL) AS text, count(gone.i) AS n_removed
+  FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.i = words.i GROUP BY 1)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+LINKS_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents WHERE text IS NOT NULL),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: md5(array_to_string(ws[i:i + 2], ' ')))
+  WHEN len(ws) > 0 THEN [md5(array_to_string(ws, ' '))] ELSE [] END) AS s FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+reached(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y),
+least AS (SELECT x, min(y) AS component_id FROM reached GROUP BY 1),
+numbers AS (SELECT x, count(*) AS n_links FROM links GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON least.x = d.doc_id LEFT JOIN numbers ON numbers.x = d.doc_id"""
+
 QUERIES: tuple[Callable, ...] = (op1_repeated_phrases, op2_token_group_join, op3_toxicity, op4_cgk_decontamination, op5_tag_path_ratios, op6_harmonic_packing, op7_licence_sentences,
                                  op8_language_mixture, op9_secret_trigrams, op10_pivot_distance_topk)
-SQL: dict[str, str] = {"op7_licence_sentences": licences.oracle_sql(), "op9_secret_trigrams": secrets.oracle_sql(),
+SQL: dict[str, str] = {"op1_repeated_phrases": REPEATS_SQL, "op2_token_group_join": LINKS_SQL,
+                       "op7_licence_sentences": licences.oracle_sql(), "op9_secret_trigrams": secrets.oracle_sql(),
                        "op10_pivot_distance_topk": TOPK_SQL}
 
 
