@@ -204,7 +204,7 @@ def forest_regressor(columns, trees: int = 160, depth: int = 16, leaf: int = 8,
     return operational_regressor([*assembled(columns), model])
 
 
-def boosted_regressor(columns, rounds: int = 50, depth: int = 5, step: float = 0.1, loss: str = "squared", label: str = "rides") -> Pipeline:
+def boosted_regressor(columns, rounds: int = 250, depth: int = 5, step: float = 0.1, loss: str = "squared", label: str = "rides") -> Pipeline:
     model = GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, lossType=loss, seed=SEED)
     return operational_regressor([*assembled(columns), model])
 
@@ -240,8 +240,8 @@ def balanced_weight(df: DataFrame, label: str = "y", name: str = "weight") -> Da
 
 
 CLASSIFIERS: dict[str, Callable[..., Estimator]] = {
-    "random_forest": lambda **k: RandomForestClassifier(labelCol="y", weightCol="weight", seed=SEED, **{"numTrees": 100, "maxDepth": 12, **k}),
-    "boosted": lambda **k: GBTClassifier(labelCol="y", seed=SEED, **{"maxIter": 50, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, **k}),
+    "random_forest": lambda **k: RandomForestClassifier(labelCol="y", weightCol="weight", seed=SEED, **{"numTrees": 300, "maxDepth": 20, **k}),
+    "boosted": lambda **k: GBTClassifier(labelCol="y", seed=SEED, **{"maxIter": 200, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, **k}),
     "logistic": lambda **k: LogisticRegression(labelCol="y", weightCol="weight", **{"elasticNetParam": 1.0, "regParam": 0.001, "maxIter": 100, **k}),
     "decision_tree": lambda **k: DecisionTreeClassifier(labelCol="y", weightCol="weight", seed=SEED, **{"maxDepth": 5, **k}),
 }
