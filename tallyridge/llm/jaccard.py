@@ -1,13 +1,14 @@
 """Similarity join of word-shingle sets by token groups.
 
 Equal sets are one node. Similar nodes are partitioned into groups such that no link leaves a group: the tokens of a
-set are dealt into more parts than two linked sets can differ in, so linked sets agree in a whole part; nodes that share
-a part are grouped (connected components). Inside a group, blocks of members keep the union of their tokens as the
+set are dealt into more parts than two linked sets can differ in, so linked sets agree in a whole part. Nodes that
+share a part and whose sketches (parities of token counts, a bound on how much the sets differ) allow a link are grouped
+(connected components). Inside a group, blocks of members keep the union of their tokens as the
 columns of a token-group matrix; a set whose overlap with a block's union cannot reach the required share does not open
 the block, and the opened ones are compared exactly by products of the matrix.
 
-A group or block never holds all copies of a text (they are one node); large groups are cut into blocks, and pairs of
-blocks are compared by different tasks.
+A group or block never holds all copies of a text (they are one node); parts and groups with many nodes are cut into
+blocks, and pairs of blocks are compared by different tasks.
 """
 
 from __future__ import annotations
@@ -22,10 +23,13 @@ from pyspark.sql import functions as F
 from tallyridge.llm.components import components
 from tallyridge.llm.tables import ODD, WordHashes, byte_slices, mixed, phrase_hashes, raw_texts, staged
 
+SKETCHED = np.uint64(0x9FB21C651E98DF25)
 GROWTH = 1.5  # sizes up to this ratio are dealt into equally many parts
 BLOCK_MEMBERS, BLOCK_TOKENS, COLUMNS = 512, 1 << 18, 4096
-NODE_SCHEMA = "doc_id long, n_shingles long, node long, check long"
-MEETING_SCHEMA = "node long, parts array<long>, mates array<long>"
+SKETCH_WORDS = 8  # 64 bits each
+MEETING_ROWS = 4096
+NODE_SCHEMA = "doc_id long, n_shingles long, node long, check long, sketch binary"
+MEETING_SCHEMA = "node long, parts array<long>"
 
 
 def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -77,22 +81,28 @@ def _signed(values) -> pa.Array:
     return pa.array(np.array(values, np.uint64).view(np.int64))
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parities of the tokens' numbers in 512 classes: two sketches never differ in more bits than the sets in tokens."""
+    odd = np.bincount((mixed(tokens ^ SKETCHED) >> np.uint64(55)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _nodes(size: int):
-    """Each document's set size and node."""
+    """Each document's set size, node and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in byte_slices(batches, "text"):
             sets = [shingle_set(hashes.of(t.lower().split()), size) for t in raw_texts(batch.column("text"))]
             node, check = _named(sets)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _signed(node), _signed(check)],
-                                             ["doc_id", "n_shingles", "node", "check"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _signed(node), _signed(check),
+                                              pa.array([sketch(s) for s in sets], pa.binary())], ["doc_id", "n_shingles", "node", "check", "sketch"])
 
     return run
 
 
-def _meetings(size: int, num: int, den: int):
-    """Each node's parts. Of a slice's nodes only one speaks for each part; the others name it as their mate."""
+def _parts(size: int, num: int, den: int):
+    """The parts of each node of a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, dealer = WordHashes(), Dealer(num, den)
@@ -101,24 +111,30 @@ def _meetings(size: int, num: int, den: int):
             parts: dict[int, np.ndarray] = {}
             for s, name in zip(sets, _named(sets)[0]):
                 if len(s) and name not in parts:
-                    parts[name] = np.unique(dealer.parts(s))
-            if not parts:
-                continue
-            names, owner = np.array(list(parts), np.uint64), np.repeat(np.arange(len(parts)), [len(p) for p in parts.values()])
-            flat = np.concatenate(list(parts.values()))
-            _, first, back = np.unique(flat, return_index=True, return_inverse=True)
-            speaker = owner[first][back]
-            own, mates = [], []
-            for k in range(len(names)):
-                a, b = np.searchsorted(owner, [k, k + 1])
-                mine = speaker[a:b] == k
-                own.append(flat[a:b][mine].view(np.int64))
-                mates.append(names[np.unique(speaker[a:b][~mine])].view(np.int64))
-            yield pa.RecordBatch.from_arrays([_signed(names), pa.array(own, pa.list_(pa.int64())), pa.array(mates, pa.list_(pa.int64()))], ["node", "parts", "mates"])
+                    parts[name] = np.unique(dealer.parts(s)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([_signed(list(parts)), pa.array(list(parts.values()), pa.list_(pa.int64()))], ["node", "parts"])
 
     return run
 
 
+def close(sketches: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which pairs may be linked: their sketches differ in no more bits than linked sets of their sizes in tokens."""
+    differ = np.bitwise_count(sketches[a] ^ sketches[b]).sum(1, dtype=np.int64)
+    return differ * (num + den) <= (sizes[a] + sizes[b]) * (den - num)
+
+
+def meeting_pairs(sketches: np.ndarray, sizes: np.ndarray, block: np.ndarray, i: int, j: int, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one part's nodes that may be linked; of the blocks i and j where it has several."""
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    for k in range(0, len(left), 64):
+        a = np.repeat(left[k:k + 64], len(right))
+        b = np.tile(right, len(left[k:k + 64]))
+        if i == j:
+            a, b = a[a < b], b[a < b]
+        good = close(sketches, sizes, a, b, num, den)
+        yield a[good], b[good]
+
+
 def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (of different ``left`` and ``right`` indexes) with ``den * intersection >= num * union``.
 
@@ -194,13 +210,40 @@ def join(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     nodes = staged(rows.mapInArrow(_nodes(size), NODE_SCHEMA))
     by_part = Window.partitionBy("part")
-    signed = rows.mapInArrow(_meetings(size, num, den), MEETING_SCHEMA)
-    # Mates are sent along as a part that only the two have, so that one pass over the texts gives all meetings.
-    met = F.expr("""concat(transform(parts, p -> named_struct('part', p, 'node', node)),
-      flatten(transform(mates, m -> array(named_struct('part', xxhash64(node, m), 'node', node), named_struct('part', xxhash64(node, m), 'node', m)))))""")
-    meetings = (signed.select(F.explode(met).alias("m")).select("m.part", "m.node").withColumn("least", F.min("node").over(by_part))
-                .where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")))
-    grouped = components(meetings)
+    signed = rows.mapInArrow(_parts(size, num, den), MEETING_SCHEMA).select(F.explode("parts").alias("part"), "node")
+    shared = (signed.withColumn("least", F.min("node").over(by_part)).withColumn("most", F.max("node").over(by_part))
+              .where("least <> most").select("part", "node").distinct())
+    shared = staged(shared.withColumn("blocks", F.ceil(F.count(F.lit(1)).over(by_part) / MEETING_ROWS).cast("int")))
+    sketched = nodes.where("n_shingles > 0").groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("n_shingles").alias("size"))
+    tasks = max(1, shared.count() // (4 * MEETING_ROWS))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = (shared.join(sketched, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+           .withColumn("__other", other).withColumn("i", F.least("block", "__other")).withColumn("j", F.greatest("block", "__other"))
+           .withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("part"), F.lit(tasks))).otherwise(F.xxhash64("part", "i", "j")))
+           .select("task", "part", "i", "j", "block", "node", "size", "sketch"))
+
+    def meet(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("part", "ascending"), ("i", "ascending"), ("j", "ascending")])
+        key = np.stack([table[c].to_numpy() for c in ("part", "i", "j")])
+        starts = np.concatenate(([0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1))
+        ends = np.append(starts[1:], table.num_rows)
+        names, sizes, block = (table[c].to_numpy() for c in ("node", "size", "block"))
+        bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        two = starts[ends - starts == 2]
+        good = close(bits, sizes, two, two + 1, num, den) & (block[two] == key[1, two]) & (key[1, two] == key[2, two])
+        found.append((two[good], two[good] + 1))
+        for a, b in zip(starts, ends):
+            if b - a > 2 or b - a == 2 and key[1, a] != key[2, a]:
+                found += [(x + a, y + a) for x, y in meeting_pairs(bits[a:b], sizes[a:b], block[a:b], key[1, a], key[2, a], num, den)]
+        x, y = (names[np.concatenate(side)] for side in zip(*found))
+        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+        own, back = np.unique(pairs, return_inverse=True)
+        back = back.reshape(pairs.shape)
+        tree = forest(zip(back[0].tolist(), back[1].tolist()), len(own))
+        return pa.table([pa.array([own[u] for u, _ in tree], pa.int64()), pa.array([own[v] for _, v in tree], pa.int64())], ["a", "b"])
+
+    grouped = components(met.groupBy("task").applyInArrow(meet, "a long, b long"))
     grouped = staged(grouped.unionByName(grouped.select(F.col("root").alias("node"), "root").distinct()))
 
     known = nodes.where("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.count("doc_id").alias("copies"))
@@ -224,7 +267,6 @@ def join(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
     held = (texts.select("node", "root", "blocks", "block", "check", "copies", "text")
             .mapInArrow(sets, "node long, root long, blocks int, block int, check long, copies long, tokens array<long>").drop("check"))
     # A block meets every block of its group: as (i, j) with i <= j it is needed once for each other one.
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = (held.withColumn("__other", other).withColumn("i", F.least("block", "__other")).withColumn("j", F.greatest("block", "__other"))
              .withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(tasks))).otherwise(F.xxhash64("root", "i", "j")))
              .select("task", "root", "i", "j", "block", "node", "copies", "tokens"))

@@ -56,6 +56,7 @@ def corpus(seed, n=150):
 @pytest.mark.parametrize("num,den", [(90, 100), (80, 100), (1, 2)])
 def test_equals_brute_force(spark, num, den, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_MEMBERS", 8)
+    monkeypatch.setattr(jaccard, "MEETING_ROWS", 5)
     rows = corpus(num)
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
     got = sorted(map(tuple, jaccard.join(docs, 3, num, den).collect()), key=repr)
@@ -83,6 +84,15 @@ def test_linked_sets_share_a_part():
     assert met > 500
 
 
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 1 << 60, rng.integers(1, 400)).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: rng.integers(0, len(a)) + 1], rng.integers(0, 1 << 60, rng.integers(0, 60)).astype(np.uint64)]))
+        x, y = (np.frombuffer(jaccard.sketch(s), np.uint64) for s in (a, b))
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, 101), (7, 7), (200, 100), (31, 5)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
