@@ -26,7 +26,6 @@ from tallyridge.llm.tables import ODD, WordHashes, byte_slices, mixed, phrase_ha
 SKETCHED = np.uint64(0x9FB21C651E98DF25)
 GROWTH = 1.5  # sizes up to this ratio are dealt into equally many parts
 BLOCK_MEMBERS, BLOCK_TOKENS, COLUMNS = 512, 1 << 18, 4096
-SKETCH_WORDS = 8  # 64 bits each
 MEETING_ROWS = 4096
 NODE_SCHEMA = "doc_id long, n_shingles long, node long, check long, sketch binary"
 MEETING_SCHEMA = "node long, parts array<long>"
@@ -82,11 +81,36 @@ def _signed(values) -> pa.Array:
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Parities of the tokens' numbers in 512 classes: two sketches never differ in more bits than the sets in tokens."""
-    odd = np.bincount((mixed(tokens ^ SKETCHED) >> np.uint64(55)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    """Parities of the tokens' numbers in at least as many classes as there are tokens, a power of two and at least 512:
+    two sketches never differ in more bits than their sets in tokens. Half a sketch is one half exclusive-or the other."""
+    bits = max(512, 1 << (len(tokens) - 1).bit_length())
+    odd = np.bincount((mixed(tokens ^ SKETCHED) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+class Sketches:
+    """Sketches of several lengths as one array of 64-bit words per length."""
+
+    def __init__(self, values: list[bytes]):
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 8
+        self.level, self.row, self.tables = lengths, np.zeros(len(values), np.int64), {}
+        for n in np.unique(lengths).tolist():
+            own = np.flatnonzero(lengths == n)
+            self.row[own] = np.arange(len(own))
+            self.tables[n] = np.frombuffer(b"".join([values[k] for k in own]), np.uint64).reshape(-1, n)
+
+    def of(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Sketches cut to ``length`` words; none of them is shorter."""
+        out = np.empty((len(at), length), np.uint64)
+        for n in np.unique(self.level[at]).tolist():
+            own = np.flatnonzero(self.level[at] == n)
+            x = self.tables[n][self.row[at[own]]]
+            while x.shape[1] > length:
+                x = x[:, :x.shape[1] // 2] ^ x[:, x.shape[1] // 2:]
+            out[own] = x
+        return out
+
+
 def _nodes(size: int):
     """Each document's set size, node and sketch."""
 
@@ -117,15 +141,23 @@ def _parts(size: int, num: int, den: int):
     return run
 
 
-def close(sketches: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Which pairs may be linked: their sketches differ in no more bits than linked sets of their sizes in tokens."""
-    differ = np.bitwise_count(sketches[a] ^ sketches[b]).sum(1, dtype=np.int64)
-    return differ * (num + den) <= (sizes[a] + sizes[b]) * (den - num)
+def close(sketches: Sketches, sizes: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which pairs may be linked: their sizes are near enough, and their sketches differ in no more bits than linked sets
+    of their sizes in tokens."""
+    good = np.minimum(sizes[a], sizes[b]) * den >= np.maximum(sizes[a], sizes[b]) * num
+    some = np.flatnonzero(good)
+    length = np.minimum(sketches.level[a[some]], sketches.level[b[some]])
+    for n in np.unique(length).tolist():
+        own = some[length == n]
+        x, y = a[own], b[own]
+        differ = np.bitwise_count(sketches.of(x, n) ^ sketches.of(y, n)).sum(1, dtype=np.int64)
+        good[own] = differ * (num + den) <= (sizes[x] + sizes[y]) * (den - num)
+    return good
 
 
-def meeting_pairs(sketches: np.ndarray, sizes: np.ndarray, block: np.ndarray, i: int, j: int, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one part's nodes that may be linked; of the blocks i and j where it has several."""
-    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+def meeting_pairs(sketches: Sketches, sizes: np.ndarray, block: np.ndarray, at: np.ndarray, i: int, j: int, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one part's nodes (the rows ``at``) that may be linked; of the blocks i and j where it has several."""
+    left, right = at[block[at] == i], at[block[at] == j]
     for k in range(0, len(left), 64):
         a = np.repeat(left[k:k + 64], len(right))
         b = np.tile(right, len(left[k:k + 64]))
@@ -228,14 +260,14 @@ def join(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
         starts = np.concatenate(([0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1))
         ends = np.append(starts[1:], table.num_rows)
         names, sizes, block = (table[c].to_numpy() for c in ("node", "size", "block"))
-        bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
+        bits = Sketches(table["sketch"].to_pylist())
         found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
         two = starts[ends - starts == 2]
         good = close(bits, sizes, two, two + 1, num, den) & (block[two] == key[1, two]) & (key[1, two] == key[2, two])
         found.append((two[good], two[good] + 1))
         for a, b in zip(starts, ends):
             if b - a > 2 or b - a == 2 and key[1, a] != key[2, a]:
-                found += [(x + a, y + a) for x, y in meeting_pairs(bits[a:b], sizes[a:b], block[a:b], key[1, a], key[2, a], num, den)]
+                found += meeting_pairs(bits, sizes, block, np.arange(a, b), key[1, a], key[2, a], num, den)
         x, y = (names[np.concatenate(side)] for side in zip(*found))
         pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
         own, back = np.unique(pairs, return_inverse=True)

@@ -87,10 +87,13 @@ def test_linked_sets_share_a_part():
 def test_sketches_bound_the_difference():
     rng = np.random.default_rng(6)
     for _ in range(200):
-        a = np.unique(rng.integers(0, 1 << 60, rng.integers(1, 400)).astype(np.uint64))
-        b = np.unique(np.concatenate([a[: rng.integers(0, len(a)) + 1], rng.integers(0, 1 << 60, rng.integers(0, 60)).astype(np.uint64)]))
-        x, y = (np.frombuffer(jaccard.sketch(s), np.uint64) for s in (a, b))
-        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+        a = np.unique(rng.integers(0, 1 << 60, rng.integers(1, 3000)).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: rng.integers(0, len(a)) + 1], rng.integers(0, 1 << 60, rng.integers(0, 900)).astype(np.uint64)]))
+        pair = jaccard.Sketches([jaccard.sketch(a), jaccard.sketch(b)])
+        for n in (8, int(pair.level.min())):
+            x, y = pair.of(np.array([0, 1]), n)
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+        assert not jaccard.close(pair, np.array([len(a), len(b)]), np.array([0]), np.array([1]), 9, 10)[0] or len(np.setxor1d(a, b)) < len(a) + len(b)
 
 
 def test_components(spark):
