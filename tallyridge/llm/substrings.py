@@ -30,7 +30,7 @@ from tallyridge.llm.tables import ODD, WordHashes, byte_slices, mixed, parts, ph
 SECOND = np.uint64(0xD6E8FEB86659FD93)  # odd factor of the second passage hash
 BUCKET_BYTES = 4 << 20
 MOST_PARTITIONS = 20_000
-SYMBOLS, SURROGATES, BREAK = 1_100_000, 0xD800, 0x10FFFF
+HIGH_BITS, LOW_BITS, HIGH_FROM, LOW_FROM, BREAK = 9, 12, 0x100, 0x1000, 0x2FFF  # characters of a word
 
 
 class Words:
@@ -50,10 +50,11 @@ class Words:
         return self.doc[:n] == self.doc[window - 1:] if n > 0 else np.empty(0, bool)
 
     def symbols(self) -> str:
-        """One character per word and one between documents; equal words have equal characters."""
-        code = (self.hashes % np.uint64(SYMBOLS)).astype(np.uint32)
-        code += np.where(code >= SURROGATES, 0x800, 0).astype(np.uint32)
-        return np.insert(code, self.starts[1:], BREAK).astype("<u4").tobytes().decode("utf-32-le")
+        """Two characters per word, of alphabets that do not overlap, and two breaks between documents; equal words have
+        equal characters. Small alphabets keep the automaton's nodes narrow."""
+        code = (self.hashes >> np.uint64(64 - HIGH_BITS - LOW_BITS)).astype(np.uint32)
+        pair = np.stack([(code >> LOW_BITS) + HIGH_FROM, (code & ((1 << LOW_BITS) - 1)) + LOW_FROM], axis=1)
+        return np.insert(pair, self.starts[1:], BREAK, axis=0).astype("<u2").tobytes().decode("utf-16-le")
 
 
 def extreme(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -94,7 +95,7 @@ def located(texts: list[bytes], ids: list, exemplars: list[tuple], window: int,
     """The bucket's words and the starts of all passages that contain a recurring phrase."""
     words = Words(texts, hashes)
     symbols = words.symbols()
-    shift = words.starts + np.arange(len(texts))  # place of each document's first character
+    shift = words.starts + np.arange(len(texts))  # place of each document's first word among words and breaks
     rows_of: dict = {}
     for r, i in enumerate(ids):
         rows_of.setdefault(i, []).append(r)
@@ -102,13 +103,14 @@ def located(texts: list[bytes], ids: list, exemplars: list[tuple], window: int,
     for i, place in exemplars:
         for r in rows_of.get(i, ()):
             if place + phrase <= words.sizes[r]:
-                automaton.add_word(symbols[shift[r] + place:shift[r] + place + phrase], 1)
+                first = 2 * (int(shift[r]) + place)
+                automaton.add_word(symbols[first:first + 2 * phrase], 1)
     if not len(automaton):
         return words, np.empty(0, np.int64)
     automaton.make_automaton()
     ends = np.fromiter((e for e, _ in automaton.iter(symbols)), np.int64)
-    at = ends - phrase + 1
-    at -= np.searchsorted(shift, at, side="right") - 1  # characters to words
+    at = (ends + 1) // 2 - phrase
+    at -= np.searchsorted(shift, at, side="right") - 1  # breaks are no words
     near = np.zeros(len(words.doc) + 2, np.int64)
     np.add.at(near, np.maximum(0, at - (window - phrase)), 1)
     np.add.at(near, at + 1, -1)
