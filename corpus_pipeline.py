@@ -26,7 +26,7 @@ def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark passage stay."""
-    return decontamination.clean(docs, read(spark, sf_dir, "benchmark"))
+    return decontamination.clean(docs, read(spark, sf_dir, "benchmark"), decontamination.Settings(short_items=True))
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontamination.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), decontamination.Settings(short_items=True))
 
 
 def op5_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 The CGK walk reads a sequence with a random walk: at each step it notes the current word and, by a random bit of word
 and step, stays on it or goes on. Sequences with few edits fall back into step, so edit distance becomes Hamming
-distance between the notes. Every item is embedded from several of its words on (the anchors, its longest words); every
-item-sized window of a document that starts at an anchor is embedded likewise. A repetition samples one note of the
-embedding besides the anchor itself; windows that agree with an item in two keys are candidates, and the exact edit
-distance between the item and the best stretch of the window decides.
+distance between the notes. Every item is embedded from each of its words on (the anchors); every item-sized window of
+a document that starts at an anchor is embedded likewise. A repetition samples one note of the embedding besides the
+anchor itself; a window that agrees with an item in keys whose words say enough together is a candidate (a long word
+says more than a short one, and each word counts once), and the exact edit distance between the item and the best
+stretch of the window decides. Items too short for walks are looked up word by word.
 
 Items are a bounded block of text (``block_bytes``) in each pass over the documents; more items mean more passes.
 """
@@ -24,19 +25,24 @@ from tallyridge.llm.tables import ODD, WordHashes, byte_slices, mixed, raw_texts
 
 TABLE_BITS = 20
 NEAR = 8  # words
+SAMPLES = (2, 5, 9, 14)  # steps of a walk after which its note is read
 
 
 @dataclass(frozen=True)
 class Settings:
     """``errors`` is the largest edit distance as a share of the item's characters; items of fewer than ``least_words``
-    words take no part. Windows need ``agreements`` different keys in common with the item. More ``anchors`` and ``repetitions`` raise the recall."""
+    words have no walks: with ``short_items`` they are found where their words stand unchanged, else they take no part.
+    The words that a window shares with an item need ``bits`` together, or ``share`` of what the item has. Keys of
+    two words with fewer than ``pair_bits`` are left out where an item has enough others. More ``repetitions`` and fewer
+    ``bits`` raise the recall."""
 
     errors: float = 0.2
     least_words: int = 5
-    anchors: int = 12
-    repetitions: int = 8
-    agreements: int = 2
-    longest_walk: int = 14
+    short_items: bool = False
+    repetitions: int = 14
+    bits: float = 29.0
+    share: float = 0.35
+    pair_bits: float = 15.0
     block_bytes: int = 4 << 20
 
 
@@ -44,16 +50,24 @@ def seed(r: int) -> np.uint64:
     return np.uint64((int(ODD) * (2 * r + 1)) % (1 << 64))
 
 
-def notes(hashes: np.ndarray, at: np.ndarray, last: np.ndarray, r: int, s: Settings) -> np.ndarray:
-    """Keys (anchor and sampled note of repetition ``r``) of walks that start at ``at`` and end at ``last``. A walk that
-    is still at its anchor has noted nothing else yet: its key is zero and counts for nothing."""
-    steps = 2 + (r * 5) % (s.longest_walk - 1)
-    now, own = at.copy(), seed(r)
-    for t in range(steps):
-        bit = (mixed(hashes[np.minimum(now, last)] ^ own) >> np.uint64(t)) & np.uint64(1)
-        now += bit.astype(np.int64)
-    note = np.where(now <= last, hashes[np.minimum(now, last)], np.uint64(0))
-    return np.where(now > at, mixed(hashes[at] * ODD + note) | np.uint64(1), np.uint64(0))
+def notes(hashes: np.ndarray, at: np.ndarray, last: np.ndarray, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each repetition the keys (anchor and sampled note) of walks that start at ``at`` and end at ``last``, and the
+    places noted. A walk that is still at its anchor, or has left its text, has noted nothing else: its key is zero and
+    counts for nothing. ``SAMPLES`` repetitions read one walk."""
+    own = hashes[at] * ODD
+    for r in range(s.repetitions):
+        if r % len(SAMPLES) == 0:
+            now, done, turns = at.copy(), 0, mixed(hashes ^ seed(r))
+        for t in range(done, SAMPLES[r % len(SAMPLES)]):
+            now += ((turns[np.minimum(now, last)] >> np.uint64(t)) & np.uint64(1)).astype(np.int64)
+        done = SAMPLES[r % len(SAMPLES)]
+        seen = np.minimum(now, last)
+        yield np.where((now > at) & (now <= last), mixed(own + hashes[seen]) | np.uint64(1), np.uint64(0)), seen
+
+
+def weights(words: list[bytes]) -> np.ndarray:
+    """Bits that each word counts for, by its length alone: results do not depend on how items are cut into blocks."""
+    return np.minimum(12.0, 3.0 + 1.5 * np.fromiter(map(len, words), float, len(words)))
 
 
 def distance_in(pattern: str, text: str, most: int) -> int:
@@ -81,42 +95,50 @@ def distance_in(pattern: str, text: str, most: int) -> int:
     return min(least, most + 1)
 
 
-def _rows(x: np.ndarray) -> np.ndarray:
-    """Each row as one comparable value."""
-    return np.ascontiguousarray(x).view([("", x.dtype)] * x.shape[1]).ravel()
-
-
 class Index:
-    """Anchors and sampled notes of a block of items, as sorted arrays."""
+    """Anchors and sampled notes of a block of items, as sorted arrays, and the short items by their first word."""
 
     def __init__(self, items: list[tuple[int, str]], s: Settings):
-        self.s, self.items = s, []
+        self.s, self.items, self.short = s, [], {}
         hashes = WordHashes()
-        anchor, entry, keys = [], [], [[] for _ in range(s.repetitions)]
+        entry, keys, noted, needs = [], [[] for _ in range(s.repetitions)], [[] for _ in range(s.repetitions)], []
+        known: dict[bytes, int] = {}
         for item, text in items:
             words = text.encode().lower().split()
+            number = len(self.items)
             if len(words) < s.least_words:
+                if words and s.short_items:
+                    self.short.setdefault(words[0], []).append((number, words))
+                    self.items.append((item, b" ".join(words).decode(), len(words)))
+                    needs.append(0.0)
                 continue
             h = hashes.of(words)
-            offsets = sorted(range(len(words)), key=lambda k: (-len(words[k]), k))[:s.anchors]
-            at = np.array(sorted(offsets), np.int64)
-            number = len(self.items)
+            at = np.arange(len(words))
             self.items.append((item, b" ".join(words).decode(), len(words)))
+            ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
             last = np.full(len(at), len(h) - 1)
-            for r in range(s.repetitions):
-                keys[r].append(notes(h, at, last, r, s))
-            anchor.append(h[at])
-            entry += [(number, o) for o in at.tolist()]
-        self.anchors = np.unique(np.concatenate(anchor)) if anchor else np.empty(0, np.uint64)
-        self.entries = np.array(entry, np.int64).reshape(-1, 2)
+            worth = weights(words)
+            needs.append(min(s.bits, s.share * float(weights(list(set(words))).sum())))
+            rich = needs[-1] == s.bits
+            for r, (key, place) in enumerate(notes(h, at, last, s)):
+                keys[r].append(np.where(worth + worth[place] < s.pair_bits, np.uint64(0), key) if rich else key)
+                noted[r].append(ids[place])
+            entry.append(np.stack([np.full(len(at), number), at, ids], axis=1))
+        self.entries = np.concatenate(entry) if entry else np.empty((0, 3), np.int64)
+        self.needs, self.bits = np.array(needs), weights(list(known))
+        self.anchors = np.unique(hashes.of(list(known)))
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[self.anchors >> np.uint64(64 - TABLE_BITS)] = True
-        self.keys, self.order = [], []
-        for own in keys:
+        self.keys, self.order, self.noted, self.tables = [], [], [], []
+        for own, words in zip(keys, noted):
             flat = np.concatenate(own) if own else np.empty(0, np.uint64)
             order = np.argsort(flat, kind="stable")
             self.keys.append(flat[order])
             self.order.append(order)
+            self.noted.append(np.concatenate(words) if words else np.empty(0, np.int64))
+            table = np.zeros(1 << TABLE_BITS, bool)
+            table[flat >> np.uint64(64 - TABLE_BITS)] = True
+            self.tables.append(table)
 
     def candidates(self, hashes: np.ndarray, doc: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Distinct (document, item, first word of the window), as rows."""
@@ -126,22 +148,36 @@ class Index:
         near = np.minimum(np.searchsorted(self.anchors, hashes[at]), len(self.anchors) - 1)
         at = at[self.anchors[near] == hashes[at]]
         last, found = ends[doc[at]] - 1, []
-        for r in range(self.s.repetitions):
-            key = notes(hashes, at, last, r, self.s)
-            lo, hi = np.searchsorted(self.keys[r], key), np.searchsorted(self.keys[r], key, side="right")
-            times = np.where(key > 0, hi - lo, 0)
-            k = np.repeat(np.arange(len(at)), times)
-            which = self.entries[self.order[r][np.arange(len(k)) - np.repeat(np.cumsum(times) - times, times) + lo[k]]]
-            found.append(np.stack([doc[at[k]], which[:, 0], at[k] - which[:, 1], key[k].view(np.int64)], axis=1))
-        hits = np.unique(np.concatenate(found), axis=0)
-        enough = np.zeros(len(hits), bool)
+        for r, (key, _) in enumerate(notes(hashes, at, last, self.s)):
+            own = np.flatnonzero((key > 0) & self.tables[r][key >> np.uint64(64 - TABLE_BITS)])
+            lo, hi = np.searchsorted(self.keys[r], key[own]), np.searchsorted(self.keys[r], key[own], side="right")
+            times = hi - lo
+            k = np.repeat(np.arange(len(own)), times)
+            line = self.order[r][np.arange(len(k)) - np.repeat(np.cumsum(times) - times, times) + lo[k]]
+            which, start = self.entries[line], at[own[k]]
+            found.append(np.stack([doc[start], which[:, 0], start - which[:, 1], which[:, 2], self.noted[r][line]]))
+        hits = np.concatenate(found, axis=1)
+        if not hits.shape[1]:
+            return np.empty((0, 3), np.int64)
+        low = int(hits[2].min())
+        span, n = (int(hits[2].max()) - low) // NEAR + 3, len(self.bits)
+        enough = np.zeros(hits.shape[1], bool)
         for shift in (0, NEAR // 2):  # windows whose starts differ by inserted or missing words count together
-            place = np.column_stack([hits[:, :2], (hits[:, 2] + shift) // NEAR])
-            _, back = np.unique(np.column_stack([place, hits[:, 3]]), axis=0, return_index=True)
-            _, group, count = np.unique(place[back], axis=0, return_inverse=True, return_counts=True)
-            good = np.unique(place[back][count[group] >= self.s.agreements], axis=0)
-            enough |= np.isin(_rows(place), _rows(good))
-        return np.unique(hits[enough, :3], axis=0)
+            place = hits[1] * span + (hits[2] - low + shift) // NEAR
+            _, place = np.unique(place, return_inverse=True)
+            words = np.unique(np.concatenate([place * n + hits[3], place * n + hits[4]]))
+            enough |= np.bincount(words // n, self.bits[words % n])[place] >= self.needs[hits[1]]
+        return np.unique(hits[:3, enough].T, axis=0)
+
+    def unchanged(self, lists: list[list[bytes]]) -> Iterator[tuple[int, int]]:
+        """(document, item) of the short items whose words stand in a document."""
+        if not self.short:
+            return
+        for d, words in enumerate(lists):
+            hits = {number for w in self.short.keys() & set(words) for number, own in self.short[w]
+                    if any(words[k:k + len(own)] == own for k, x in enumerate(words) if x == w)}
+            for number in sorted(hits):
+                yield d, number
 
     def matches(self, texts: list[bytes], hashes: WordHashes) -> Iterator[tuple[int, int, int]]:
         """(document, item number, distance) of all confirmed pairs, with the smallest distance found."""
@@ -150,16 +186,20 @@ class Index:
         starts = np.cumsum(sizes) - sizes
         flat = hashes.of([w for words in lists for w in words])
         best: dict[tuple[int, int], int] = {}
-        seen: tuple[int, int, int] | None = None
-        for d, item, first in self.candidates(flat, np.repeat(np.arange(len(lists)), sizes), starts + sizes).tolist():
+        for d, number in self.unchanged(lists):
+            best[d, number] = 0
+        rows = self.candidates(flat, np.repeat(np.arange(len(lists)), sizes), starts + sizes)
+        new = np.ones(len(rows), bool)  # neighbouring windows are compared as one
+        new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1) | (rows[1:, 2] - rows[:-1, 2] > NEAR)
+        tails = np.append(np.flatnonzero(new)[1:], len(rows)) - 1 if len(rows) else []
+        for (d, item, first), final in zip(rows[new].tolist(), rows[tails, 2].tolist() if len(rows) else []):
+            if best.get((d, item)) == 0:
+                continue
             _, text, n = self.items[item]
             room = 2 + int(n * self.s.errors)
-            begin = first - int(starts[d])
-            if seen and seen[:2] == (d, item) and (begin - seen[2] <= 1 or best.get((d, item)) == 0):
-                continue  # the window one word before covers it
-            seen = (d, item, begin)
+            begin, end = first - int(starts[d]), final - int(starts[d]) + n
             most = int(len(text) * self.s.errors)
-            own = b" ".join(lists[d][max(0, begin - room):max(0, begin + n + room)]).decode("utf-8", "replace")
+            own = b" ".join(lists[d][max(0, begin - room):max(0, end + room)]).decode("utf-8", "replace")
             found = distance_in(text, own, most)
             if found <= most:
                 best[d, item] = min(found, best.get((d, item), found))

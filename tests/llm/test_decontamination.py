@@ -64,3 +64,24 @@ def test_empty_tables(spark, docs, items):
     d, b = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string")
     assert D.matches(d, b).count() == 0
     assert D.clean(d, b).count() == len(docs)
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.15, 0.2])
+def test_recall_up_to_the_largest_distance(rate):
+    rng = random.Random(11)
+    items = [(k, passage(rng, rng.randrange(12, 60))) for k in range(120)]
+    index, hashes, got, want = D.Index(items, D.Settings()), D.WordHashes(), set(), set()
+    texts = [" ".join((passage(rng, 40), edited(rng, t, rate), passage(rng, 40))) for _, t in items]
+    for (k, item), text in zip(items, texts):
+        if D.distance_in(item, " ".join(text.lower().split()), 10**6) <= int(0.2 * len(item)):
+            want.add((k, k))
+    got = {(d, i) for d, i, _ in index.matches([t.encode() for t in texts], hashes)}
+    assert len(want) >= 60 and len(got & want) >= 0.9 * len(want)
+
+
+def test_short_items_are_found_word_by_word(spark):
+    items = spark.createDataFrame([(1, "Alpha beta"), (2, "x"), (3, "one two three four"), (4, " ")], "item_id long, text string")
+    rows = [(1, "an ALPHA\nbeta here", ""), (2, "alphabeta", ""), (3, "beta alpha x", ""), (4, "one two three five", ""), (5, "so one two three four", ""), (6, None, "")]
+    docs, own = spark.createDataFrame(rows, SCHEMA), D.Settings(short_items=True)
+    assert {(r["doc_id"], r["item_id"], r["distance"]) for r in D.matches(docs, items, own).collect()} == {(1, 1, 0), (3, 2, 0), (5, 3, 0)}
+    assert {r["doc_id"] for r in D.clean(docs, items, own).collect()} == {2, 4, 6}
