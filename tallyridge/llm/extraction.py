@@ -2,8 +2,9 @@
 
 The text nodes of a page are grouped by their root-to-leaf tag path. Each path has two ratios, characters and
 punctuation marks per text node; both are smoothed over neighbouring paths, fused into one weight, and the paths above
-a threshold mark content. The content node is the deepest container that holds nearly all of the marked text, and the
-article is every block inside it, short ones too, apart from the subtrees that are never part of an article.
+a threshold mark content. The content node is the deepest container that holds all of the marked text, but never one
+inside the innermost article or main around that text, nor one whose parent still has a heading. Directly below the body
+a block with nine tenths of it is enough if the rest is in plain blocks of other paths (imprints). The article is every block inside it, short ones too, apart from the subtrees that are never part of an article.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ NOISE = frozenset("ad ads adv advert adverts advertisement advertising banner br
 WORDS = re.compile(r"[a-z]+")
 SMOOTHING = (0.25, 0.5, 0.25)
 THRESHOLD, HELD = 0.7, 0.9
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 def _noise(tag: str, names: str) -> bool:
@@ -139,9 +141,21 @@ def main_text(source: str) -> str:
         weight[page.parent[e]] += weight[e]
         if weight[e] and page.tag[e] in CONTAINERS:
             children.setdefault(page.parent[e], []).append(e)
-    root = 0
-    while (inner := next((e for e in children.get(root, ()) if weight[e] >= HELD * weight[0]), None)) is not None:
-        root = inner
+    way = [0]
+    while (own := children.get(way[-1])) is not None:
+        inner = max(own, key=lambda e: weight[e])
+        rest = [e for e in own if e != inner]
+        plain = (page.tag[way[-1]] in ("", "html", "body") and sum(weight[e] for e in own) == weight[way[-1]]
+                 and all(page.tag[e] not in ("article", "main", "section") and page.path[e] != page.path[inner] for e in rest))
+        if weight[inner] < (HELD if plain else 1) * weight[way[-1]]:
+            break
+        way.append(inner)
+    named = [k for k, e in enumerate(way) if page.tag[e] in ("article", "main")]
+    if named:
+        root = way[named[-1]]
+    else:
+        headed = {page.parent[e] for e in {int(e) for e in table[:, 3]} if page.tag[e] in HEADINGS}
+        root = next((e for e in way[:-1] if page.tag[e] in ("div", "section") and e in headed), way[-1])
     inside = [False] * len(page.tag)
     for e in range(len(inside)):
         inside[e] = e == root or e > 0 and inside[page.parent[e]]

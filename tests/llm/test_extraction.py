@@ -24,6 +24,20 @@ def test_odd_markup(page, want):
     assert main_text(page) == want
 
 
+BODY = "<p>" + "A long sentence, with words; and more of them. " * 40 + "</p>"
+
+
+@pytest.mark.parametrize("page,first,last", [
+    (f"<body><nav>Home.</nav><article><h1>Title</h1><p>lead</p><div>{BODY}</div></article><footer>Us.</footer></body>", "Title lead A long", "of them."),
+    (f"<article><section>{BODY * 5}</section><section class=end><p>A short end, though.</p></section></article>", "A long", "A short end, though."),
+    (f"<body><div class=content><h1>Title</h1><p>lead</p><div>{BODY * 5}</div><p>last</p></div><div>(c) 2020</div></body>", "Title lead A long", "of them. last"),
+    (f"<main><article>{BODY * 12}</article><article><p>Another, shorter one.</p></article></main>", "A long", "Another, shorter one."),
+])
+def test_nothing_of_the_article_is_lost(page, first, last):
+    text = main_text(page)
+    assert text.startswith(first) and text.endswith(last)
+
+
 def test_long_and_deep_pages():
     assert main_text("<article>" + "<p>One, two.</p>" * 20000 + "</article>") == " ".join(["One, two."] * 20000)
     assert main_text("<div>" * 3000 + "x, y." + "</div>" * 3000) == "x, y."
