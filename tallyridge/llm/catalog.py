@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyridge.llm import decontamination, extraction, jaccard, languages, licences, packing, secrets, substrings, topk, toxicity
+from tallyridge.llm import (bpe, clustering, decontamination, extraction, jaccard, languages, licences, negatives, packing, secrets, substrings,
+                            topk, toxicity)
 from tallyridge.llm.tables import read
 
 
@@ -61,6 +62,66 @@ def op10_pivot_distance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+def op11_bpe_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import PATTERN, path
+
+    ranks = path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encode(read(spark, sf_dir, "documents"), ranks, PATTERN, ["doc_id"])
+    coded = coded.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"))
+    text = bpe.decode(coded, ranks, ["doc_id", "n_tokens", "ids_sha256"])
+    return text.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_tree_bound_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op13_va_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clustering.cluster(read(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
+NEGATIVES_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3"""
+
+
+def clusters_sql(rounds: int = 3) -> str:
+    """Plain assignment and means, one pair of statements per round."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, any_value(v.e) AS e, min({{'d': (list_inner_product(v.e, v.e) - 2 * list_inner_product(v.e, c.e) + list_inner_product(c.e, c.e))::BIGINT, 'c': c.c}}) AS near
+  FROM v CROSS JOIN c{r} c GROUP BY vec_id)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  WITH parts AS (SELECT near.c AS c, j, sum(e[j])::BIGINT AS s, count(*) AS n FROM a{r} CROSS JOIN range(1, 65) t(j) GROUP BY 1, 2),
+  means AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY j) AS e FROM parts GROUP BY 1)
+  SELECT c{r}.c, coalesce(means.e, c{r}.e) AS e FROM c{r} LEFT JOIN means ON means.c = c{r}.c)""")
+    body = ",\n".join(steps)
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1)::INT AS c, e FROM v QUALIFY c < 16),
+{body}
+SELECT vec_id, near.c AS cluster, near.d AS distance, (sum(near.d) OVER (PARTITION BY near.c))::BIGINT AS cluster_inertia,
+  (sum(near.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(list_transform(c{rounds}.e, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = near.c"""
+
+
 TOPK_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
@@ -96,10 +157,11 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0
 FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON least.x = d.doc_id LEFT JOIN numbers ON numbers.x = d.doc_id"""
 
 QUERIES: tuple[Callable, ...] = (op1_repeated_phrases, op2_token_group_join, op3_toxicity, op4_cgk_decontamination, op5_tag_path_ratios, op6_harmonic_packing, op7_licence_sentences,
-                                 op8_language_mixture, op9_secret_trigrams, op10_pivot_distance_topk)
+                                 op8_language_mixture, op9_secret_trigrams, op10_pivot_distance_topk, op11_bpe_matrices, op12_tree_bound_negatives,
+                                 op13_va_file_clusters)
 SQL: dict[str, str] = {"op1_repeated_phrases": REPEATS_SQL, "op2_token_group_join": LINKS_SQL,
                        "op7_licence_sentences": licences.oracle_sql(), "op9_secret_trigrams": secrets.oracle_sql(),
-                       "op10_pivot_distance_topk": TOPK_SQL}
+                       "op10_pivot_distance_topk": TOPK_SQL, "op12_tree_bound_negatives": NEGATIVES_SQL, "op13_va_file_clusters": clusters_sql()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
