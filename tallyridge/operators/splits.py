@@ -7,11 +7,15 @@ so no class is ever sorted by one task.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyridge.functions.hashing import hash_bucket, md5_key
-from tallyridge.operators.prefix import exact_rank
+from tallyridge.operators.prefix import exact_rank, null_safe_join
 
 
 def shuffled_rank(df: DataFrame, by, row: str, seed, name: str = "rank") -> DataFrame:
@@ -34,15 +38,81 @@ def stratified_folds(df: DataFrame, label, row: str, k: int, seed, name: str = "
     return ranked.withColumn(name, (F.pmod(F.col("rank") - 1, F.lit(k)) + 1).cast("int")).drop("rank", "rank_of")
 
 
+def _dealt(k: int, totals: list[int]):
+    """Deal groups, given as (counts, groups with these counts) in order, to the fold that stays most even."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [[0] * len(totals) for _ in range(k)]
+        total, squares = [0] * len(totals), [0] * len(totals)
+
+        def place(counts: list[int]) -> int:
+            best = None
+            for f, own in enumerate(held):
+                uneven = 0.0
+                for c, n in enumerate(counts):
+                    spread = k * (squares[c] + 2 * own[c] * n + n * n) - (total[c] + n) ** 2
+                    uneven += math.sqrt(spread) / (k * totals[c]) if totals[c] else 0.0
+                if best is None or (uneven, sum(own)) < best[:2]:
+                    best = (uneven, sum(own), f)
+            own = held[best[2]]
+            for c, n in enumerate(counts):
+                squares[c] += 2 * own[c] * n + n * n
+                own[c] += n
+                total[c] += n
+            return best[2]
+
+        for batch in batches:
+            heads, cycles = [], []
+            for counts, groups in zip(batch["counts"], batch["groups"]):
+                counts, head, cycle = [int(n) for n in counts], [], []
+                while len(head) < groups:
+                    head.append(place(counts) + 1)
+                    if len(set(head[-k:])) == k and groups - len(head) >= k:
+                        cycle = head[-k:]  # every fold took one: nothing but the level has changed, so this repeats
+                        break
+                if cycle:
+                    rounds, rest = divmod(groups - len(head), k)
+                    for f, own in enumerate(held):
+                        for c, n in enumerate(counts):
+                            own[c] += n * rounds
+                    for c, n in enumerate(counts):
+                        total[c] += k * n * rounds
+                        squares[c] = sum(own[c] ** 2 for own in held)
+                    for _ in range(rest):
+                        place(counts)
+                heads.append(head)
+                cycles.append(cycle)
+            yield pd.DataFrame({"counts": batch["counts"], "head": heads, "cycle": cycles})
+
+    return run
+
+
 def group_folds(df: DataFrame, group: str, label: str, k: int, seed) -> DataFrame:
-    """Whole groups per fold: groups are dealt by class and size, large ones first."""
-    size, majority = F.count(F.lit(1)).alias("size"), F.mode(label, True).alias("__class")
-    groups = df.groupBy(group).agg(size, majority).withColumn("__key", md5_key(F.col(group), str(seed)))
-    groups = groups.withColumn("__big", -F.col("size"))
-    bucket = F.struct("__big", hash_bucket(F.col("__key"), 2).alias("h"))
-    dealt = exact_rank(groups, ["__class"], ["__big", "__key", group], bucket)
-    folds = dealt.select(group, (F.pmod(F.col("rank") - 1, F.lit(k)) + 1).cast("int").alias("fold"))
-    return df.join(folds, group)
+    """Whole groups per fold, class shares as even as greedy dealing makes them.
+
+    Groups come in order of how unevenly they hold the classes (spread of their class counts, largest first; then
+    counts, then a seeded key). Each goes to the fold where the mean over the classes of the standard deviation of
+    the folds' class shares stays smallest; ties to the fold with fewer rows, then to the lower number. Groups with
+    equal counts are dealt together: once every fold has taken one of them, the pattern repeats. So one ordered pass
+    over the distinct count vectors, a stream through one task that holds k x classes numbers, settles all groups.
+    Null labels are a class of their own; rows with a null group form one group; a table without rows stays empty.
+    """
+    classes = [r[0] for r in df.select(label).distinct().orderBy(label).collect()]  # the classes of a label are few
+    if not classes:
+        return df.withColumn("fold", F.lit(None).cast("int"))
+    counts = F.array(*[F.count_if(F.col(label).eqNullSafe(F.lit(c))) for c in classes])
+    groups = df.groupBy(group).agg(counts.alias("counts")).withColumn("__key", md5_key(F.coalesce(F.col(group).cast("string"), F.lit("")), str(seed)))
+    totals = [r[0] for r in groups.select(F.posexplode("counts")).groupBy("pos").agg(F.sum("col").alias("n")).orderBy("pos").select("n").collect()]
+    total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, n: a + n)
+    squares = F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, n: a + n * n)
+    kinds = groups.groupBy("counts").agg(F.count(F.lit(1)).alias("groups")).withColumn("__spread", len(classes) * squares - total * total)
+    ordered = kinds.repartition(1).sortWithinPartitions(F.desc("__spread"), "counts").select("counts", "groups")
+    dealt = ordered.mapInPandas(_dealt(k, totals), "counts array<bigint>, head array<int>, cycle array<int>")
+    ranked = exact_rank(groups, ["counts"], ["__key", group], hash_bucket(F.col("__key"), 2)).withColumn("__at", (F.col("rank") - 1).cast("int"))
+    later = F.pmod(F.col("__at") - F.size("head"), F.greatest(F.size("cycle"), F.lit(1)))
+    fold = F.when(F.col("__at") < F.size("head"), F.get("head", F.col("__at"))).otherwise(F.get("cycle", later))
+    folds = ranked.join(dealt, "counts").select(group, fold.alias("fold"))
+    return null_safe_join(df, folds, [group])
 
 
 def chronological_folds(days: DataFrame, k: int = 5, size: int = 28, day: str = "day") -> DataFrame:

@@ -128,7 +128,7 @@ def permutation_two_sample(rows: DataFrame, value: str, first: Column, order: st
 
 
 def chi_square(cells: DataFrame, by, row: str, col: str, n: str = "n") -> DataFrame:
-    """Chi-square statistic, degrees of freedom and smallest expected count per table.
+    """Chi-square statistic, degrees of freedom, smallest expected count and p-value per table.
 
     ``cells`` has one row per observed cell. Tables of one degree of freedom get the
     continuity correction. Absent cells need no row: they only enter through the margins.
@@ -145,9 +145,10 @@ def chi_square(cells: DataFrame, by, row: str, col: str, n: str = "n") -> DataFr
     df = (F.col("rows") - 1) * (F.col("cols") - 1)
     d = F.col("d") - F.least(F.lit(0.5), F.col("d"))
     corrected = d * d * F.col("total") * F.col("rinv") * F.col("cinv")
-    return sums.join(rs, by).join(cs, by).select(
+    tested = sums.join(rs, by).join(cs, by).select(
         *by, F.when(df == 1, corrected).when(df > 1, F.col("q") - F.col("total")).otherwise(0.0).alias("chi2"),
         df.cast("bigint").alias("dof"), (F.col("rmin") * F.col("cmin") / F.col("total")).alias("min_expected"))
+    return tested.withColumn("p_value", chi_square_p(F.greatest("chi2", F.lit(0.0)), F.col("dof")))
 
 
 def wilson(successes: Column, total: Column, z: float = Z95) -> tuple[Column, Column]:
@@ -172,6 +173,47 @@ def log_gamma(x: Column) -> Column:
     return (big - 0.5) * F.ln(big) - big + 0.5 * math.log(2 * math.pi) + series - shift
 
 
+def upper_gamma(a: Column, x: Column) -> Column:
+    """Q(a, x), the upper regularised incomplete gamma function, for a > 0 and x >= 0.
+
+    Below a + 1 the power series of its complement is summed, above it Lentz's continued fraction; both need a few
+    times sqrt(a) steps to double precision, so that many are taken.
+    """
+    a, x = a.cast("double"), x.cast("double")
+    steps = F.sequence(F.lit(1), (F.sqrt(a) * 10 + 80).cast("int"))
+    front = F.exp(a * F.ln(x) - x - (log_gamma(a + 1) - F.ln(a)))
+    begin = F.struct((1 / a).alias("term"), (1 / a).alias("total"))
+
+    def grown(s: Column, k: Column) -> Column:
+        term = s["term"] * x / (a + k)
+        return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
+
+    series = 1 - front * F.aggregate(steps, begin, grown)["total"]
+    tiny = 1e-300
+
+    def kept(value: Column) -> Column:
+        return F.when(F.abs(value) < tiny, F.lit(tiny)).otherwise(value)
+
+    b = x + 1 - a
+    first = F.struct(F.lit(1 / tiny).alias("c"), (1 / kept(b)).alias("d"), (1 / kept(b)).alias("h"))
+
+    def continued(s: Column, k: Column) -> Column:
+        top, bottom = -k * (k - a), b + 2 * k
+        d = 1 / kept(top * s["d"] + bottom)
+        c = kept(bottom + top / s["c"])
+        return F.struct(c.alias("c"), d.alias("d"), (s["h"] * d * c).alias("h"))
+
+    fraction = front * F.aggregate(steps, first, continued)["h"]
+    value = F.when(x <= 0, F.lit(1.0)).when(x < a + 1, series).otherwise(fraction)
+    return F.greatest(F.least(value, F.lit(1.0)), F.lit(0.0))
+
+
+def chi_square_p(chi2: Column, dof: Column) -> Column:
+    """Probability of a larger statistic without association; 1 for tables without a degree of freedom."""
+    safe = F.greatest(dof.cast("double"), F.lit(1.0))
+    return F.when(chi2.isNull() | dof.isNull(), F.lit(None).cast("double")).when(dof < 1, 1.0).otherwise(upper_gamma(safe / 2, chi2 / 2))
+
+
 def mcnemar_exact(pairs: DataFrame, by, only_first: str, only_second: str) -> DataFrame:
     """Exact two-sided binomial p of the discordant counts.
 

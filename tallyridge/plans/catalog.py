@@ -69,7 +69,10 @@ def oracle_sql() -> dict[str, str]:
     for key, sql in _ORACLES.items():
         views = ", ".join(f"{name} AS ({VIEW_SQL[name]})" for name in _needed(sql))
         body = sql.strip()
-        if views and re.match(r"(?i)with\s", body):
+        recursive = re.match(r"(?i)with\s+recursive\s", body)
+        if views and recursive:
+            out[key] = f"WITH RECURSIVE {views}, {body[recursive.end():].lstrip()}"
+        elif views and re.match(r"(?i)with\s", body):
             out[key] = f"WITH {views}, {body[4:].lstrip()}"
         else:
             out[key] = f"WITH {views} {body}" if views else body

@@ -216,7 +216,9 @@ SELECT * FROM (WITH o AS (SELECT r, c, count(i.row_id) AS o FROM (SELECT DISTINC
     LEFT JOIN items i ON i.{c} = r AND i.label = c GROUP BY ALL),
   e AS (SELECT *, sum(o) OVER (PARTITION BY r) * sum(o) OVER (PARTITION BY c) / (sum(o) OVER ())::DOUBLE AS e FROM o),
   d AS (SELECT (count(DISTINCT r) - 1) * (count(DISTINCT c) - 1) AS dof FROM o)
-SELECT '{c}' AS "column", round(sum(CASE WHEN dof = 1 THEN pow(abs(o - e) - least(0.5, abs(o - e)), 2) / e ELSE pow(o - e, 2) / e END), 6) AS chi2, max(dof)::BIGINT AS dof, round(min(e), 6) AS min_expected FROM e, d)""" for c in CHI_COLUMNS))
+SELECT t.* EXCLUDE (raw), round(CASE WHEN dof < 1 THEN 1 ELSE 1 - list_sum(list_transform(range(0, 400 + (2 * chi2)::BIGINT + dof), lambda k:
+    exp((dof / 2 + k) * ln(greatest(raw, 1e-300) / 2) - raw / 2 - lgamma(dof / 2 + k + 1)))) END, 6) AS p_value FROM (
+SELECT '{c}' AS "column", sum(CASE WHEN dof = 1 THEN pow(abs(o - e) - least(0.5, abs(o - e)), 2) / e ELSE pow(o - e, 2) / e END) AS raw, round(sum(CASE WHEN dof = 1 THEN pow(abs(o - e) - least(0.5, abs(o - e)), 2) / e ELSE pow(o - e, 2) / e END), 6) AS chi2, max(dof)::BIGINT AS dof, round(min(e), 6) AS min_expected FROM e, d) t)""" for c in CHI_COLUMNS))
 def _(v):
     cells = Q.value_counts(v.items, CHI_COLUMNS, ["label"]).where("value IS NOT NULL")
     return T.chi_square(cells, ["column"], "value", "label")
@@ -313,11 +315,23 @@ def _(v):
     return P.stratified_folds(v.items, "label", "row_id", 5, 42).select("row_id", "label", "fold")
 
 
-@query("split_group_kfold", """
-WITH r AS (SELECT *, row_id // 50 AS grp FROM items),
- g AS (SELECT grp, count(*) AS n, CASE WHEN count_if(label = 'p') > count_if(label = 'e') THEN 'p' ELSE 'e' END AS c FROM r GROUP BY 1),
- d AS (SELECT grp, ((row_number() OVER (PARTITION BY c ORDER BY n DESC, md5(concat_ws('|', grp::VARCHAR, '42')), grp) - 1) % 5 + 1)::INT AS fold FROM g)
-SELECT row_id, r.grp, fold FROM r JOIN d USING (grp)""")
+def _uneven(n: str) -> str:
+    """Deviation of one class's shares over five folds if fold f takes one more group."""
+    return (f"sqrt(5 * (list_sum(list_transform(s_{n}, lambda x: x * x)) + 2 * s_{n}[f] * {n} + {n} * {n}) - (list_sum(s_{n}) + {n}) * (list_sum(s_{n}) + {n})) "
+            f"/ (5 * all_{n})")
+
+
+@query("split_group_kfold", f"""
+WITH RECURSIVE r AS (SELECT *, row_id // 50 AS grp FROM items),
+ g AS (SELECT grp, count_if(label = 'e')::BIGINT AS e, count_if(label = 'p')::BIGINT AS p FROM r GROUP BY 1),
+ o AS (SELECT *, (sum(e) OVER ())::BIGINT AS all_e, (sum(p) OVER ())::BIGINT AS all_p, row_number() OVER (ORDER BY 2 * (e * e + p * p) - (e + p) * (e + p) DESC, e, p, md5(concat_ws('|', grp::VARCHAR, '42')), grp) AS i FROM g),
+ steps AS (
+  SELECT 0::BIGINT AS i, NULL::BIGINT AS grp, NULL::BIGINT AS fold, [0, 0, 0, 0, 0]::BIGINT[] AS s_e, [0, 0, 0, 0, 0]::BIGINT[] AS s_p
+  UNION ALL
+  SELECT i, grp, b.f AS fold, list_transform(s_e, lambda x, j: CASE WHEN j = b.f THEN x + e ELSE x END), list_transform(s_p, lambda x, j: CASE WHEN j = b.f THEN x + p ELSE x END)
+  FROM (SELECT o.*, s_e, s_p, list_sort(list_transform(range(1, 6), lambda f: {{'v': {_uneven('e')} + {_uneven('p')}, 'n': s_e[f] + s_p[f], 'f': f}}))[1] AS b
+    FROM steps JOIN o ON o.i = steps.i + 1))
+SELECT row_id, r.grp, fold::INT AS fold FROM r JOIN steps USING (grp)""")
 def _(v):
     rows = v.items.withColumn("grp", F.floor(F.col("row_id") / 50))
     return P.group_folds(rows, "grp", "label", 5, 42).select("row_id", "grp", "fold")

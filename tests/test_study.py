@@ -276,3 +276,16 @@ def test_one_to_one_stops_on_repeats(spark):
     assert J.one_to_one(a, a.withColumnRenamed("v", "w"), "k").first()[:] == (1, "x", "x")
     with pytest.raises(Exception, match="not unique"):
         J.one_to_one(a.union(a), a.withColumnRenamed("v", "w"), "k").collect()
+
+
+def test_chi_square_p_values(spark):
+    def exact(a, x):  # finite sums for whole and half a
+        logs = [-x + (i - (a % 1)) * math.log(x) - math.lgamma(i - (a % 1) + 1) for i in range(1 if a % 1 else 0, int(a + a % 1))]
+        return math.fsum(map(math.exp, logs)) + (math.erfc(math.sqrt(x)) if a % 1 else 0.0)
+
+    rows = [(dof, dof * share + more) for dof in range(1, 201) for share in (0.2, 0.9, 1.0, 1.2, 3.0) for more in (0.01, 10.0)]
+    df = spark.createDataFrame(rows, "dof long, chi2 double").select("dof", "chi2", T.chi_square_p(F.col("chi2"), F.col("dof")).alias("p"))
+    for r in df.collect():
+        assert r.p == pytest.approx(exact(r.dof / 2, r.chi2 / 2), abs=1e-9)
+    edge = spark.createDataFrame([(0, 0.0), (3, 0.0), (2, 1e6), (None, 1.0)], "dof long, chi2 double")
+    assert [r.p for r in edge.select(T.chi_square_p(F.col("chi2"), F.col("dof")).alias("p")).collect()] == [1.0, 1.0, 0.0, None]
