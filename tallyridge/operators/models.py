@@ -142,7 +142,8 @@ class Operational(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
 
 class RidgeRegression(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Squared loss with the L2 weight ``alpha`` spread over the rows that are fitted."""
+    """Least squares with the L2 weight ``alpha`` on the whole sum of squares. The library's own weight is per row and
+    per standard deviation of the label, so ``alpha`` is converted to that."""
 
     alpha = _param("alpha", "L2 weight of the whole sum of squares", TypeConverters.toFloat)
     label = _param("label", "column to learn", TypeConverters.toString)
@@ -152,7 +153,8 @@ class RidgeRegression(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         self._set(alpha=alpha, label=label)
 
     def _fit(self, dataset: DataFrame) -> Model:
-        weight = self.getOrDefault(self.alpha) / max(dataset.count(), 1)
+        facts = dataset.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(self.getOrDefault(self.label)).alias("sd")).first()
+        weight = self.getOrDefault(self.alpha) * (facts["sd"] or 1.0) / max(facts["n"], 1)
         return LinearRegression(labelCol=self.getOrDefault(self.label), elasticNetParam=0.0, regParam=weight, standardization=False).fit(dataset)
 
 
