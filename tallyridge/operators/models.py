@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import json
+import math
 from collections.abc import Callable, Iterable
 from contextlib import contextmanager
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, keyword_only
+from pyspark import StorageLevel, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
@@ -23,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyridge.operators import features as E
+from tallyridge.operators.boosting import BoostedTrees
 from tallyridge.operators.metrics import cells, rates
 from tallyridge.operators.scoring import operational
 from tallyridge.operators.splits import shuffled_rank, training_window
@@ -31,10 +36,20 @@ from tallyridge.operators.summaries import regression_metrics
 SEED = 42
 
 
+ROWS_PER_TASK = 250_000
+
+
+def dealt_out(df: DataFrame) -> DataFrame:
+    """Rows over at least as many partitions as there are cores: adaptive execution would merge a small table into one
+    partition, and trees are grown by one task per partition."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_TASK))
+    return df.repartition(parts)
+
+
 @contextmanager
-def held(df: DataFrame):
-    """Keep a training frame in memory or on disk while several fits read it."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+def held(df: DataFrame, trees: bool = False):
+    """Keep a training frame in memory or on disk while several fits read it; for ``trees`` dealt out over the cores."""
+    df = (dealt_out(df) if trees else df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield df
     finally:
@@ -206,11 +221,16 @@ def forest_regressor(columns, trees: int = 160, depth: int = 16, leaf: int = 8,
     return operational_regressor([*assembled(columns), model])
 
 
-def boosted_regressor(columns, rounds: int = 250, depth: int = 5, step: float = 0.1, loss: str = "squared", label: str = "rides") -> Pipeline:
-    model = GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, lossType=loss, seed=SEED)
+def boosted_regressor(columns, rounds: int = 250, depth: int = 5, step: float = 0.05, leaf: int = 40, loss: str = "squared", label: str = "rides") -> Pipeline:
+    model = GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, minInstancesPerNode=leaf, lossType=loss, seed=SEED)
     return operational_regressor([*assembled(columns), model])
 
 
+def boosted_trees(columns, loss: str, rounds: int = 250, depth: int = 5, step: float = 0.05, leaf: int = 40, label: str = "rides") -> Pipeline:
+    """Boosting with the library's own loop: counts (``poisson``) or robust errors (``huber``)."""
+    return operational_regressor([*assembled(columns), BoostedTrees(loss, rounds, depth, step, leaf, label=label)])
+
+
 def poisson_regressor(columns, label: str = "rides") -> Pipeline:
     return operational_regressor([*scaled(columns), GeneralizedLinearRegression(labelCol=label, family="poisson", link="log", regParam=0.01)])
 
@@ -242,7 +262,7 @@ def balanced_weight(df: DataFrame, label: str = "y", name: str = "weight") -> Da
 
 
 CLASSIFIERS: dict[str, Callable[..., Estimator]] = {
-    "random_forest": lambda **k: RandomForestClassifier(labelCol="y", weightCol="weight", seed=SEED, **{"numTrees": 300, "maxDepth": 20, **k}),
+    "random_forest": lambda **k: RandomForestClassifier(labelCol="y", weightCol="weight", seed=SEED, **{"numTrees": 300, "maxDepth": 20, "maxMemoryInMB": 1024, **k}),
     "boosted": lambda **k: GBTClassifier(labelCol="y", seed=SEED, **{"maxIter": 200, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, **k}),
     "logistic": lambda **k: LogisticRegression(labelCol="y", weightCol="weight", **{"elasticNetParam": 1.0, "regParam": 0.001, "maxIter": 100, **k}),
     "decision_tree": lambda **k: DecisionTreeClassifier(labelCol="y", weightCol="weight", seed=SEED, **{"maxDepth": 5, **k}),
@@ -294,6 +314,46 @@ def best_configuration(frame: DataFrame, folds: DataFrame, options: dict[str, Ca
     return [{**r, "selected": r["configuration"] == first} for r in table]
 
 
+def drawn(space: dict[str, list], n: int, seed=SEED) -> list[dict]:
+    """``n`` different points of a product space: those with the smallest md5 of (place, seed), places counted with the
+    last parameter running fastest. All points, if there are fewer."""
+    names, sizes = list(space), [len(v) for v in space.values()]
+    places = heapq.nsmallest(n, range(math.prod(sizes)), key=lambda i: (hashlib.md5(f"{i}|{seed}".encode()).hexdigest(), i))
+    points = []
+    for place in places:
+        point = {}
+        for name, size in zip(reversed(names), reversed(sizes)):
+            place, at = divmod(place, size)
+            point[name] = space[name][at]
+        points.append({name: point[name] for name in names})
+    return points
+
+
+def random_search(frame: DataFrame, folds: DataFrame, points: list[dict], estimator: Callable[..., Estimator], parallelism: int | None = None) -> list[dict]:
+    """Every point fitted and scored on every fold, several at once over one cached table; the first best is selected.
+
+    The cores work on different fits, as many at once as there are cores (at most 16) unless ``parallelism`` says
+    otherwise, so the table is only cut where its size asks for it: every further partition repeats the statistics of
+    all nodes. Returns configuration (1-based), the point's parameters, folds, cv_rmse and selected."""
+    bounds = folds.orderBy("fold").collect()  # a few folds
+    parallelism = parallelism or min(16, frame.sparkSession.sparkContext.defaultParallelism)
+    with held(frame.repartition(max(1, -(-frame.count() // ROWS_PER_TASK)))) as rows:
+
+        def scored(job: tuple[dict, object]) -> float:
+            point, b = job
+            d = F.col("day")
+            train = rows.where((d >= F.lit(b["train_start"])) & (d < F.lit(b["train_end"])))
+            valid = rows.where((d >= F.lit(b["valid_start"])) & (d < F.lit(b["valid_end"])))
+            return rmse_of(estimator(**point).fit(train), valid)
+
+        jobs = [(point, b) for point in points for b in bounds]
+        with ThreadPool(parallelism) as pool:
+            errors = pool.map(inheritable_thread_target(frame.sparkSession)(scored), jobs, chunksize=1)
+    means = [sum(errors[k * len(bounds):(k + 1) * len(bounds)]) / len(bounds) for k in range(len(points))]
+    first = means.index(min(means)) if means else -1
+    return [{"configuration": k + 1, **point, "folds": len(bounds), "cv_rmse": m, "selected": k == first} for k, (point, m) in enumerate(zip(points, means))]
+
+
 def window_search(frame: DataFrame, cutoff: str, years, folds_of: Callable[[DataFrame], DataFrame], estimator: Callable[[], Estimator]) -> list[dict]:
     """Training length with the lowest mean fold RMSE."""
     table = []

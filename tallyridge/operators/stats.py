@@ -11,9 +11,11 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-from tallyridge.functions.hashing import hash_mod, md5_key
-from tallyridge.functions.numeric import ratio
+from tallyridge.functions.hashing import hash_bucket, hash_mod, md5_key
+from tallyridge.functions.numeric import order_bin, ratio
+from tallyridge.operators.prefix import exact_rank
 
 Z95 = 1.959963984540054
 
@@ -101,30 +103,48 @@ def holm(tests: DataFrame, family: str = "family", label: str = "label", p: str
     return stepped.withColumn("holm_p", F.least(running, F.lit(1.0))).drop("__step").withColumn("reject", F.col("holm_p") < 0.05)
 
 
-def permutation_two_sample(rows: DataFrame, value: str, first: Column, order: str, repetitions: int = 9_999, seed: int = 42) -> DataFrame:
-    """One-sided permutation test of mean(first group) - mean(second group).
+def _order_bucket(df: DataFrame, column: str) -> Column:
+    """Pieces of an order that never decrease along it, for ranks without one big sort."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, NumericType):
+        return order_bin(F.col(column))
+    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        return F.date_trunc("month", column)
+    return F.substring(F.col(column).cast("string"), 1, 2)
 
-    ``rows`` is a day-level series; every repetition reorders it by md5 and cuts it at
-    the size of the first group.
+
+def permutation_two_sample(rows: DataFrame, value: str, first: Column, order: str, repetitions: int = 9_999, seed: int = 42, bucket_rows: int = 1_000) -> DataFrame:
+    """One-sided permutation test of mean(first group) - mean(second group), for tables of any size.
+
+    A repetition gives every row a key, the md5 of (repetition, place in ``order``, seed), and its first group is the
+    rows with the smallest keys, as many as the first group has. They are selected by their leading digits: sums per
+    (repetition, digits) tell the bucket in which the cut falls, and only that bucket, of about ``bucket_rows`` rows,
+    is ranked in a second pass. Only sums are kept; no series is ever gathered. Rows with a null value are left out;
+    with an empty group the difference is null and no repetition reaches it.
     """
-    item = F.struct(F.col(order).alias("o"), F.col(value).alias("x"), first.cast("int").alias("g"))
-    packed = rows.where(F.col(value).isNotNull()).agg(F.array_sort(F.collect_list(item))).scalar()
-    reps = _repetitions(rows.sparkSession, repetitions).withColumn("s", packed)
-    n1 = F.size(F.filter("s", lambda t: t["g"] == 1))
-
-    def gap(a, b):
-        return _mean(a) - _mean(b)
-
-    take = lambda arr: F.transform(arr, lambda t: t["x"])
-    shuffled = F.array_sort(F.transform("s", lambda t, i: F.struct(md5_key(F.col("rep"), i, str(seed)).alias("k"), t["x"].alias("x"))))
-    rest = F.size("s") - n1
-    out = reps.withColumn("z", shuffled).select(
-        gap(take(F.filter("s", lambda t: t["g"] == 1)), take(F.filter("s", lambda t: t["g"] == 0))).alias("observed"),
-        gap(take(F.slice("z", F.lit(1), n1)), take(F.slice("z", n1 + 1, rest))).alias("null_gap"),
-        n1.alias("first_n"), rest.alias("second_n"))
-    hit = F.count_if(F.col("null_gap") >= F.col("observed") - 1e-12)
-    return out.agg(F.max("observed").alias("observed"), F.max("first_n").alias("first_n"), F.max("second_n").alias("second_n"),
-                   ((hit + 1) / (F.count(F.lit(1)) + 1)).alias("p_value"))
+    known = rows.where(F.col(value).isNotNull()).select(F.col(order).alias("__o"), F.col(value).cast("double").alias("x"), first.cast("int").alias("g"))
+    is_first = F.coalesce(F.col("g"), F.lit(0)) == 1
+    facts = known.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_first).alias("n1"), F.sum("x").alias("total"), F.avg(F.when(is_first, F.col("x"))).alias("a"),
+                      F.avg(F.when(~is_first, F.col("x"))).alias("b")).first()
+    n, n1 = facts["n"], facts["n1"]
+    digits = max(1, min(6, math.ceil(math.log(max(n / bucket_rows, 1), 16)))) if n else 1
+    placed = exact_rank(known, [], ["__o", "x", "g"], _order_bucket(known, "__o"))
+    each = placed.select((F.col("rank") - 1).alias("i"), "x", F.explode(F.sequence(F.lit(1), F.lit(repetitions))).alias("rep"))
+    keyed = each.select("rep", "x", md5_key(F.col("rep"), F.col("i"), str(seed)).alias("key")).withColumn("head", hash_bucket(F.col("key"), digits))
+    sums = keyed.groupBy("rep", "head").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("s"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("rep").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # at most 16^digits sums
+    placed_sums = sums.withColumn("before", before)
+    whole = placed_sums.where(F.col("before") + F.col("n") <= n1).select("rep", "s")
+    cut = placed_sums.where((F.col("before") < n1) & (F.col("before") + F.col("n") > n1)).select("rep", "head", (n1 - F.col("before")).alias("need"))
+    ranked = keyed.join(cut, ["rep", "head"]).withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy("key")))  # one bucket per repetition
+    part = ranked.where(F.col("place") <= F.col("need")).select("rep", F.col("x").alias("s"))
+    gaps = whole.unionByName(part).groupBy("rep").agg(F.sum("s").alias("s"))
+    total = facts["total"] or 0.0
+    gap = F.try_divide(F.col("s"), F.lit(float(n1))) - F.try_divide(F.lit(total) - F.col("s"), F.lit(float(n - n1)))
+    observed = F.lit(None if facts["a"] is None or facts["b"] is None else facts["a"] - facts["b"]).cast("double")
+    hit = F.count_if(gap >= observed - 1e-12)
+    return gaps.agg(hit.alias("hits")).select(observed.alias("observed"), F.lit(n1).cast("int").alias("first_n"), F.lit(n - n1).cast("int").alias("second_n"),
+                                              ((F.col("hits") + 1) / (repetitions + 1.0)).alias("p_value"))
 
 
 def chi_square(cells: DataFrame, by, row: str, col: str, n: str = "n") -> DataFrame:

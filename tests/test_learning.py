@@ -148,3 +148,18 @@ def test_mllib_chi_square_agrees_on_wide_tables(spark):
     indexed = StringIndexer(inputCol="kind", outputCol="ix").fit(df).transform(df).withColumn("v", L.as_vector(["ix"]))
     theirs = ChiSquareTest.test(indexed, "v", "y", flatten=True).first()
     assert ours.chi2 == pytest.approx(theirs.statistic) and ours.dof == theirs.degreesOfFreedom
+
+
+def test_draws_are_seeded_and_without_replacement():
+    space = {"a": [1, 2, 3], "b": ["x", "y"]}
+    every = L.drawn(space, 99)
+    assert len(every) == 6 and {(p["a"], p["b"]) for p in every} == {(a, b) for a in (1, 2, 3) for b in "xy"}
+    assert L.drawn(space, 2) == every[:2] and L.drawn(space, 6, 1) != every
+
+
+def test_random_search_selects_the_first_best(frame):
+    folds = P.chronological_folds(frame, 2, 3)
+    table = L.random_search(frame, folds, [{"alpha": 1e7}, {"alpha": 1.0}, {"alpha": 1.0}], lambda alpha: L.ridge(S.FEATURES, alpha))
+    assert [r["selected"] for r in table] == [False, True, False] and [r["configuration"] for r in table] == [1, 2, 3]
+    single = L.chronological_cv(frame, folds, lambda: L.ridge(S.FEATURES, 1.0))
+    assert table[1]["cv_rmse"] == pytest.approx(L.mean_rmse(single)) and table[1]["folds"] == 2

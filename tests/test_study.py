@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import numpy as np
@@ -289,3 +290,32 @@ def test_chi_square_p_values(spark):
         assert r.p == pytest.approx(exact(r.dof / 2, r.chi2 / 2), abs=1e-9)
     edge = spark.createDataFrame([(0, 0.0), (3, 0.0), (2, 1e6), (None, 1.0)], "dof long, chi2 double")
     assert [r.p for r in edge.select(T.chi_square_p(F.col("chi2"), F.col("dof")).alias("p")).collect()] == [1.0, 1.0, 0.0, None]
+
+
+def plain_permutation(rows, repetitions, seed):
+    known = sorted((o, x, g) for o, x, g in rows if x is not None)
+    n1 = sum(g for *_, g in known)
+    gap = lambda first, rest: sum(first) / len(first) - sum(rest) / len(rest)
+    observed = gap([x for _, x, g in known if g], [x for _, x, g in known if not g])
+    hits = 0
+    for rep in range(1, repetitions + 1):
+        keyed = sorted((hashlib.md5(f"{rep}|{i}|{seed}".encode()).hexdigest(), x) for i, (_, x, _) in enumerate(known))
+        hits += gap([x for _, x in keyed[:n1]], [x for _, x in keyed[n1:]]) >= observed - 1e-12
+    return observed, n1, len(known) - n1, (hits + 1) / (repetitions + 1)
+
+
+@pytest.mark.parametrize("bucket_rows", [1_000, 20, 2])
+def test_permutation_by_digits_equals_sorting(spark, bucket_rows):
+    rng = np.random.default_rng(6)
+    rows = [(int(i * 3), None if i % 31 == 0 else float(rng.normal()), int(i % 3 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "o long, x double, g int")
+    plan = T.permutation_two_sample(df, "x", F.col("g") == 1, "o", 60, 7, bucket_rows)
+    assert tuple(plan.first()) == pytest.approx(plain_permutation(rows, 60, 7))
+    assert "collect_list" not in plan._jdf.queryExecution().toString()
+
+
+def test_permutation_of_one_empty_group_and_no_rows(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, 3.0)], "o long, x double")
+    for frame, sizes in ((df, (0, 2)), (df.where("o > 5"), (0, 0))):
+        r = T.permutation_two_sample(frame, "x", F.lit(False), "o", 9).first()
+        assert r.observed is None and (r.first_n, r.second_n) == sizes and r.p_value == pytest.approx(0.1)
