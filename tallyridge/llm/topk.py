@@ -78,7 +78,9 @@ class Geometry:
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k largest (score, then smaller id) of one query."""
+    """The k largest (score, then smaller id) of one query; an id counts once per score."""
+    if len(ids) > k and len(np.unique(ids)) < len(ids):
+        scores, ids = np.unique(np.stack([scores, ids]), axis=1)
     if len(scores) > k:
         keep = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
         scores, ids = scores[keep], ids[keep]
@@ -92,7 +94,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, settings: Setting
 
     A query meets every row but those with its own id; with fewer candidates all are returned. Vectors of another
     length than the most common one (ties to the longer) take no part, nor do rows that ``quantised`` leaves out.
-    Repeated queries with one id count once if their vectors are equal, else the results of all of them compete.
+    Repeated rows are one candidate. Repeated queries with one id count once if their vectors are equal, else the results of all of them compete.
     Empty tables give no rows.
     """
     spark = vectors.sparkSession
@@ -101,7 +103,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, settings: Setting
     width = lengths["n"] if lengths else 0
     if not width:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    rows = all_rows.where(F.size("v") == width)
+    rows = all_rows.where(F.size("v") == width).distinct()  # a repeated row is one candidate
     rank = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     distinct = (rows.withColumn("__rank", rank).where(F.col("__rank") <= k + 1).groupBy("v")
                 .agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))  # at most k + 1 ids

@@ -47,3 +47,16 @@ def test_few_candidates_and_empty_tables(spark):
 def test_large_components_stay_exact():
     a = np.array([[2.0 ** 40, 3.0], [5.0, -(2.0 ** 20)]])
     assert topk.products(a[:, ::-1] // 2 ** 10, a // 2 ** 10).tolist() == (a[:, ::-1] // 2 ** 10).astype(int).dot((a // 2 ** 10).astype(int).T).tolist()
+
+
+def test_repeated_rows_are_one_candidate(spark):
+    v, far = [1.0, 0.5, 0.25], [0.25, 0.5, 1.0]
+    rows = [(1, v)] * 8 + [(i, v) for i in range(2, 8)] + [(60, far), (61, far), (62, v), (62, v), (62, [1.0, 0.25, 0.75])]
+    df = spark.createDataFrame([(i, x, "x", 1) for i, x in rows], SCHEMA)
+    for divisor in (7, 60):
+        queries = {i for i, _ in rows if i % divisor == 0}
+        for settings in (topk.Settings(), topk.Settings(2, 3, 2, 1)):
+            got = sorted(map(tuple, topk.search(df, df.where(f"vec_id % {divisor} = 0"), 5, settings).collect()))
+            assert got == brute(rows, queries, 5)
+    best = [r.vec_id for r in topk.search(df, df.where("vec_id = 7"), 5).orderBy("rank").collect()]
+    assert best == [1, 2, 3, 4, 5]
