@@ -3,21 +3,21 @@
 A forest learns to tell real rows from rows with independently shuffled columns; two
 rows are similar when many trees put them in the same leaf. Only leaf profiles matter,
 so rows are reduced to distinct profiles with counts before anything is compared.
-Profiles are compared block against block; each block pair keeps its k best per query,
-so neither the driver nor a task ever holds more than one block of each side.
+A query profile meets only those known profiles that an inverted index of (tree, leaf)
+postings cannot rule out of its k best.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyridge.operators.boosting import LOCAL_CHECKPOINTS
 from tallyridge.operators.models import SEED, encoders, permuted_columns
+from tallyridge.session import checkpoint_dir
 
 
 def fit_proximity_forest(df: DataFrame, row: str, measures, categories, trees: int = 200, depth: int = 10) -> PipelineModel:
@@ -39,47 +39,83 @@ def leaf_profiles(model: PipelineModel, df: DataFrame, keep) -> DataFrame:
     return model.transform(df).select(*keep, leaves.alias("profile"))
 
 
-def _compare(k: int):
-    def run(_key, queries: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        cols = ["query", "value", "n", "similarity", "profile_key"]
-        if queries.empty or known.empty:
-            return pd.DataFrame({c: [] for c in cols})
-        ref = np.stack(known["profile"].to_numpy()).astype(np.int32)
-        tie = np.argsort(np.argsort((known["profile_key"] + "|" + known["value"]).to_numpy(), kind="stable"), kind="stable")
-        out = []
-        for key, profile in zip(queries["query"], queries["profile"]):
-            same = (ref == np.asarray(profile, dtype=np.int32)).sum(axis=1)
-            best = np.lexsort((tie, -same))[:k]
-            out.append(pd.DataFrame({"query": key, "value": known["value"].to_numpy()[best], "n": known["n"].to_numpy()[best],
-                                     "similarity": same[best] / ref.shape[1], "profile_key": known["profile_key"].to_numpy()[best]}))
-        return pd.concat(out)
+def _postings(profiles: DataFrame, *keep: str) -> DataFrame:
+    """One row per (profile, tree): its leaf."""
+    return profiles.select(*keep, F.posexplode("profile").alias("tree", "leaf"))
 
-    return run
+
+def _equal_leaves(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, hit: total + hit)
+
+
+def _kth(pairs: DataFrame, k: int) -> DataFrame:
+    """(query, floor): equal leaves of the k-th best row found so far; queries with fewer rows are left out."""
+    order = Window.partitionBy("query").orderBy(F.desc("matches"), "known")
+    few = pairs.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= k)  # every profile stands for a row at least
+    upto = F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return few.withColumn("__upto", upto).where(F.col("__upto") >= k).groupBy("query").agg(F.max("matches").alias("floor"))
+
+
+def candidates(queries: DataFrame, known: DataFrame, k: int = 30, block_rows: int = 20_000) -> DataFrame:
+    """(query, known, matches, trees): every pair of a distinct query profile and a distinct known profile that can be among the
+    k most similar rows, with its number of equal leaves and of trees.
+
+    ``queries`` has (query, profile) and ``known`` (known, profile, rows), one row per distinct profile. Known profiles
+    are posted under their (tree, leaf) pairs. A query first meets some profiles of its rarest leaves; the k-th best of
+    these is a number of equal leaves m that its best k surely reach. A profile with m equal leaves shares one of any
+    T - m + 1 of the query's T leaves, so only the postings of that many rarest leaves are opened, and a profile found
+    c times there is compared only if c plus the leaves not opened can reach m. Postings of a hot leaf are dealt over
+    blocks of ``block_rows``, which also bounds what the first look takes from one leaf. Profiles without an equal leaf
+    are nobody's neighbours. The result is exact.
+    """
+    posted = _postings(known, "known", "rows").withColumn("block", F.lit(0))
+    sizes = posted.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("size"))
+    block = F.pmod(F.xxhash64("known"), F.col("blocks")).cast("int")
+    posted = posted.drop("block").join(sizes.select("tree", "leaf", F.ceil(F.col("size") / block_rows).alias("blocks")), ["tree", "leaf"]).withColumn("block", block).drop("blocks")
+    asked = _postings(queries, "query").join(sizes, ["tree", "leaf"], "left").withColumn("size", F.coalesce("size", F.lit(0)))
+    rarest = Window.partitionBy("query").orderBy("size", "tree")  # one row per tree
+    asked = asked.withColumns({"place": F.row_number().over(rarest), "trees": F.count(F.lit(1)).over(Window.partitionBy("query")),
+                               "before": F.coalesce(F.sum("size").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    asked = asked.where("size > 0")
+    profiles = known.select("known", "rows", F.col("profile").alias("__known"))
+    own = queries.select("query", F.col("profile").alias("__own"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        return pairs.join(own, "query").join(profiles, "known").select(
+            "query", "known", "rows", _equal_leaves("__own", "__known").alias("matches"), F.size("__own").alias("trees"))
+
+    seeds = asked.where(F.col("before") < 4 * k).join(posted.where("block = 0").select("tree", "leaf", "known"), ["tree", "leaf"]).select("query", "known").distinct()
+    floors = _kth(compared(seeds), k)
+    asked = asked.join(floors, "query", "left").withColumn("floor", F.greatest(F.coalesce("floor", F.lit(1)), F.lit(1)))
+    opened = asked.withColumn("opened", F.col("trees") - F.col("floor") + 1).where(F.col("place") <= F.col("opened"))
+    opened = opened.withColumn("block", F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / block_rows).cast("int") - 1)))
+    met = opened.join(posted.select("tree", "leaf", "block", "known"), ["tree", "leaf", "block"]).groupBy("query", "known").agg(
+        F.count(F.lit(1)).alias("found"), F.first("floor").alias("floor"), F.first(F.col("trees") - F.col("opened")).alias("rest"))
+    hopeful = met.where(F.col("found") + F.col("rest") >= F.col("floor"))
+    return compared(hopeful.select("query", "known")).join(floors, "query", "left").where(
+        F.col("matches") >= F.greatest(F.coalesce("floor", F.lit(1)), F.lit(1))).select("query", "known", "matches", "trees")
 
 
 def nearest_values(queries: DataFrame, known: DataFrame, k: int = 30, block_rows: int = 20_000) -> DataFrame:
     """Weighted votes of the k most similar known rows per distinct query profile.
 
-    ``queries`` has ``profile``; ``known`` has ``profile`` and ``value``. Equal rows count
-    with their multiplicity; ties at the border go by profile and value. Returns
-    ``query`` (profile key), ``value`` and ``weight``.
+    ``queries`` has ``profile``; ``known`` has ``profile`` and ``value``. Equal rows count with their multiplicity; ties
+    at the border go by profile and value; rows without an equal leaf have no vote. Returns ``query`` (profile key),
+    ``value`` and ``weight``.
     """
     key = F.md5(F.array_join("profile", ","))
-    q = queries.groupBy("profile").agg(F.count(F.lit(1)).alias("rows")).select("profile", key.alias("query"))
-    r = known.groupBy("profile", "value").agg(F.count(F.lit(1)).alias("n")).select("profile", "value", "n", key.alias("profile_key"))
-    q_blocks = max(1, -(-q.count() // block_rows))
-    r_blocks = max(1, -(-r.count() // block_rows))
-    q = q.withColumn("qb", F.pmod(F.xxhash64("query"), F.lit(q_blocks)).cast("int")).withColumn(
-        "rb", F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))))
-    r = r.withColumn("rb", F.pmod(F.xxhash64("profile_key", "value"), F.lit(r_blocks)).cast("int")).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-    found = q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInPandas(
-        _compare(k), "query string, value string, n long, similarity double, profile_key string")
-    # At most k candidates per reference block reach this window.
-    order = Window.partitionBy("query").orderBy(F.desc("similarity"), "profile_key", "value")
+    spark = queries.sparkSession
+    checkpoint_dir(spark, LOCAL_CHECKPOINTS if spark.sparkContext.master.startswith("local[") else None)
+    # Both tables are read several times; the forest that made them runs once.
+    q = queries.select("profile").distinct().select("profile", key.alias("query")).checkpoint()
+    r = known.groupBy("profile", "value").agg(F.count(F.lit(1)).alias("n")).withColumn("known", key).checkpoint()
+    whole = r.groupBy("known", "profile").agg(F.sum("n").alias("rows"))
+    found = candidates(q, whole, k, block_rows).join(r.select("known", "value", "n"), "known")
+    order = Window.partitionBy("query").orderBy(F.desc("matches"), "known", "value")
+    few = found.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= k)  # every row of it counts once at least
     before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    taken = found.withColumn("take", F.least(F.col("n"), k - before)).where("take > 0")
-    return taken.groupBy("query", "value").agg(F.sum(F.col("similarity") * F.col("take")).alias("weight"))
+    taken = few.withColumn("take", F.least(F.col("n"), k - before)).where("take > 0")
+    return taken.groupBy("query", "value").agg(F.sum(F.col("matches") / F.col("trees") * F.col("take")).alias("weight"))
 
 
 def proximity_impute(model: PipelineModel, train: DataFrame, df: DataFrame, row: str, target: str, k: int = 30, block_rows: int = 20_000) -> DataFrame:

@@ -100,11 +100,12 @@ def test_fitted_pipelines_survive_storage(spark, frame, tmp_path):
         assert L.rmse_of(stored, frame) == L.rmse_of(fitted, frame)
 
 
-def test_ridge_weight_follows_the_rows_of_the_fit(frame):
+def test_ridge_weight_is_that_of_the_whole_sum_of_squares(frame):
     half = frame.where("hour(timestamp) < 12")
     for rows in (frame, half):
         model = L.ridge(["lag_7d"]).fit(rows).stages[2]
-        assert model.getOrDefault("regParam") == pytest.approx(10.0 / rows.count())
+        facts = rows.agg(F.count(F.lit(1)).alias("n"), F.corr("lag_7d", "rides").alias("r"), F.stddev("rides").alias("sd")).first()
+        assert model.coefficients[0] == pytest.approx((facts.n - 1) * facts.r * facts.sd / (facts.n - 1 + 10.0))
 
 
 def test_nearest_values_equal_brute_force(spark):
@@ -127,6 +128,34 @@ def test_nearest_values_equal_brute_force(spark):
             assert votes[(keys[tuple(p)], value)] == pytest.approx(weight)
 
 
+def test_few_profiles_are_compared_and_none_is_lost(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.integers(0, 40, (25, 30))
+    make = lambda n: [[int(x) if rng.random() < 0.8 else int(rng.integers(0, 40)) for x in centres[i % 25]] for i in range(n)]
+    known, asked = make(600), make(40)
+    r = spark.createDataFrame([(str(i), p, 1 + i % 3) for i, p in enumerate(known)], "known string, profile array<int>, rows int")
+    q = spark.createDataFrame([(str(i), p) for i, p in enumerate(asked)], "query string, profile array<int>")
+    got = {(x.query, x.known): x.matches for x in X.candidates(q, r, 12, 16).collect()}
+    assert len(got) < 0.1 * len(known) * len(asked)
+    for i, p in enumerate(asked):
+        equal = [sum(a == b for a, b in zip(p, other)) for other in known]
+        places, rows, floor = sorted(range(len(known)), key=lambda j: -equal[j]), 0, 0
+        for j in places:
+            rows += 1 + j % 3
+            if rows >= 12:
+                floor = equal[j]
+                break
+        for j in range(len(known)):
+            assert got.get((str(i), str(j)), equal[j]) == equal[j] and ((str(i), str(j)) in got or equal[j] < floor)
+
+
+def test_nothing_known_and_no_equal_leaf(spark):
+    q = spark.createDataFrame([([1, 2],), ([5, 6],)], "profile array<int>")
+    r = spark.createDataFrame([([1, 3], "a"), ([9, 9], "b")], "profile array<int>, value string")
+    assert [(x.value, x.weight) for x in X.nearest_values(q, r).collect()] == [("a", 0.5)]
+    assert X.nearest_values(q, r.limit(0)).count() == 0 and X.nearest_values(q.limit(0), r).count() == 0
+
+
 def test_proximity_fills_every_hole(spark):
     df = study(spark)
     model = X.fit_proximity_forest(df, "row_id", ["size"], ["kind"], trees=10, depth=4)
