@@ -10,6 +10,7 @@ from tallyridge.operators import dedup as D
 from tallyridge.operators import features as E
 from tallyridge.operators import joins as J
 from tallyridge.operators import profile as Q
+from tallyridge.operators import sketches as K
 from tallyridge.operators import splits as P
 from tallyridge.operators import stats as T
 from tallyridge.plans.catalog import query
@@ -129,6 +130,17 @@ def _(v):
     return Q.distinct_per_column(v.items, CONTENT)
 
 
+@query("agg_distinct_sketches", f'SELECT "column", "distinct", true AS near_of_3, true AS near_of_7 FROM ({DISTINCT_SQL})')
+def _(v):
+    """Distinct counts merged from the sketches of three and of seven parts: within 5 % of the exact ones."""
+    out = Q.distinct_per_column(v.items, CONTENT)
+    for n in (3, 7):
+        parts = K.distinct_parts(v.items.withColumn("part", F.col("row_id") % n), "part", CONTENT)
+        out = out.join(K.merged_distinct(parts).withColumnRenamed("distinct", f"of_{n}"), "column", "left")
+    near = {n: F.coalesce(F.abs(F.col(f"of_{n}") - F.col("distinct")) <= 0.05 * F.col("distinct"), F.col("distinct") == 0) for n in (3, 7)}
+    return out.select("column", "distinct", *[c.alias(f"near_of_{n}") for n, c in near.items()])
+
+
 @query("agg_constant_columns", f'SELECT * FROM ({DISTINCT_SQL}) WHERE "distinct" <= 1')
 def _(v):
     return Q.constant_columns(v.items, CONTENT)

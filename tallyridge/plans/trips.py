@@ -8,6 +8,7 @@ from tallyridge.functions import clock, hashing, numeric, text
 from tallyridge.operators import clean as C
 from tallyridge.operators import dedup as D
 from tallyridge.operators import series as S
+from tallyridge.operators import sketches as K
 from tallyridge.operators import summaries as A
 from tallyridge.plans.catalog import query
 from tallyridge.sources import stages
@@ -405,6 +406,30 @@ def _(v):
     return A.spatial_bins(C.in_box(v.trips, "start_lat", "start_lng", (40, 41.5, -75, -73)), "start_lat", "start_lng", 0.05)
 
 
+@query("agg_hexagon_bins", """
+WITH p AS (SELECT (start_lng + 75) / (2 / 45.0::DOUBLE) AS x, (start_lat - 40) / (1.5::DOUBLE / 25) AS y FROM trips WHERE start_lat BETWEEN 40 AND 41.5 AND start_lng BETWEEN -75 AND -73),
+ c AS (SELECT x, y, floor(x + 0.5) AS ax, floor(y + 0.5) AS ay, floor(x) + 0.5::DOUBLE AS bx, floor(y) + 0.5::DOUBLE AS by FROM p),
+ d AS (SELECT *, round(power(x - ax, 2) + 3 * power(y - ay, 2), 9) <= round(power(x - bx, 2) + 3 * power(y - by, 2), 9) AS first FROM c)
+SELECT round(40 + CASE WHEN first THEN ay ELSE by END * (1.5::DOUBLE / 25), 6) AS lat, round(-75 + CASE WHEN first THEN ax ELSE bx END * (2 / 45.0::DOUBLE), 6) AS lng, count(*) AS n FROM d GROUP BY 1, 2""")
+def _(v):
+    box = (40, 41.5, -75, -73)
+    return A.hexagon_bins(C.in_box(v.trips, "start_lat", "start_lng", box), "start_lat", "start_lng", box)
+
+
+@query("agg_monthly_sketches", """
+SELECT date_trunc('month', started_at) AS period, count(*) AS rides, count_if(valid_duration)::BIGINT AS valid, true AS near_median FROM trips WHERE valid_demand GROUP BY 1""")
+def _(v):
+    """Medians per month merged from the sketches of seven parts: their ranks lie within 2 % of one half."""
+    minutes = A.usable_minutes()
+    rows = v.trips.where("valid_demand").withColumn("period", clock.trunc("month", F.col("started_at")))
+    parts = K.quantile_parts(rows.withColumn("part", F.dayofmonth("started_at") % 7), "part", minutes, ["period"])
+    marks = K.merged_quantiles(parts, ["period"], {"median": 0.5})
+    placed = rows.select("period", minutes.alias("__m")).join(marks.select("period", "median"), "period").groupBy("period").agg(
+        F.avg((F.col("__m") < F.col("median")).cast("int")).alias("below"), F.avg((F.col("__m") <= F.col("median")).cast("int")).alias("upto"))
+    near = (F.col("below") <= 0.52) & (F.col("upto") >= 0.48)
+    return marks.join(placed, "period").select("period", F.col("rows").alias("rides"), "valid", near.alias("near_median"))
+
+
 @query("agg_box_stats", """
 WITH t AS (SELECT member_casual, duration_minutes AS d FROM trips WHERE valid_duration),
  q AS (SELECT member_casual, quantile_cont(d, .25) AS q1, quantile_cont(d, .5) AS median, quantile_cont(d, .75) AS q3 FROM t GROUP BY 1)
