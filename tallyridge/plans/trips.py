@@ -408,9 +408,10 @@ def _(v):
 
 @query("agg_hexagon_bins", """
 WITH p AS (SELECT (start_lng + 75) / (2 / 45.0::DOUBLE) AS x, (start_lat - 40) / (1.5::DOUBLE / 25) AS y FROM trips WHERE start_lat BETWEEN 40 AND 41.5 AND start_lng BETWEEN -75 AND -73),
- c AS (SELECT x, y, floor(x + 0.5) AS ax, floor(y + 0.5) AS ay, floor(x) + 0.5::DOUBLE AS bx, floor(y) + 0.5::DOUBLE AS by FROM p),
- d AS (SELECT *, round(power(x - ax, 2) + 3 * power(y - ay, 2), 9) <= round(power(x - bx, 2) + 3 * power(y - by, 2), 9) AS first FROM c)
-SELECT round(40 + CASE WHEN first THEN ay ELSE by END * (1.5::DOUBLE / 25), 6) AS lat, round(-75 + CASE WHEN first THEN ax ELSE bx END * (2 / 45.0::DOUBLE), 6) AS lng, count(*) AS n FROM d GROUP BY 1, 2""")
+ c AS (SELECT x, y, floor(x + 0.5) AS x1, floor(y + 0.5) AS y1, floor(x) + 0.5::DOUBLE AS x2, floor(y) + 0.5::DOUBLE AS y2 FROM p),
+ d AS (SELECT *, round(power(x - x1, 2) + 3 * power(y - y1, 2), 9) <= round(power(x - x2, 2) + 3 * power(y - y2, 2), 9) AS plain FROM c)
+SELECT round(40 + CASE WHEN plain THEN y1 ELSE y2 END * (1.5::DOUBLE / 25), 6) AS lat, round(-75 + CASE WHEN plain THEN x1 ELSE x2 END * (2 / 45.0::DOUBLE), 6) AS lng, count(*) AS n
+FROM d GROUP BY 1, 2""")
 def _(v):
     box = (40, 41.5, -75, -73)
     return A.hexagon_bins(C.in_box(v.trips, "start_lat", "start_lng", box), "start_lat", "start_lng", box)
