@@ -21,10 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyridge.llm.tables import ODD, WordHashes, byte_slices, mixed, raw_texts
+from tallyridge.llm.tables import ODD, WordHashes, byte_slices, mixed, raw_texts, runs
 
 TABLE_BITS = 20
+SLICE_BYTES = 2 << 20  # of text handled at once inside a worker
+WORDS = 200_000  # whose hashes a worker keeps
 NEAR = 8  # words
+LONGEST = 1024, 2048  # code points of an item and of a stretch that are compared with others at once
+TOGETHER = 16, 1024  # least and largest number of such pairs
 SAMPLES = (2, 5, 9, 14)  # steps of a walk after which its note is read
 
 
@@ -39,13 +43,41 @@ class Settings:
     errors: float = 0.2
     least_words: int = 5
     short_items: bool = False
-    repetitions: int = 14
-    bits: float = 29.0
+    repetitions: int = 20
+    bits: float = 27.0
     share: float = 0.35
     pair_bits: float = 15.0
     block_bytes: int = 4 << 20
 
 
+SPACES = np.zeros(256, bool)
+SPACES[list(b" \t\n\r\x0b\x0c")] = True
+LONG_WORD = 64  # bytes; up to there words are hashed together, eight bytes at a time
+
+
+def split(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text, as ``bytes.split`` finds them."""
+    return runs(~SPACES[np.frombuffer(data, np.uint8)])
+
+
+def hashed(data: bytes, starts: np.ndarray, ends: np.ndarray, long: WordHashes) -> np.ndarray:
+    """64-bit hash of each word, by its bytes alone."""
+    size = ends - starts
+    out = size.astype(np.uint64) * ODD
+    padded = data + bytes(8)
+    eights = np.ndarray((len(data) + 1,), np.uint64, padded, strides=(1,))
+    which = np.flatnonzero(size <= LONG_WORD)
+    for done in range(0, LONG_WORD, 8):
+        which = which[size[which] > done]
+        unused = np.maximum(8 - (size[which] - done), 0).astype(np.uint64) * np.uint64(8)
+        h = (out[which] ^ (eights[starts[which] + done] << unused)) * ODD
+        out[which] = h ^ (h >> np.uint64(31))
+    out = mixed(out)
+    which = np.flatnonzero(size > LONG_WORD)
+    out[which] = long.of([data[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist())])
+    return out
+
+
 def seed(r: int) -> np.uint64:
     return np.uint64((int(ODD) * (2 * r + 1)) % (1 << 64))
 
@@ -65,6 +97,12 @@ def notes(hashes: np.ndarray, at: np.ndarray, last: np.ndarray, s: Settings) ->
         yield np.where((now > at) & (now <= last), mixed(own + hashes[seen]) | np.uint64(1), np.uint64(0)), seen
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; ``values`` has at least one and is sorted in place."""
+    values.sort()
+    return values[np.concatenate(([True], values[1:] != values[:-1]))]
+
+
 def weights(words: list[bytes]) -> np.ndarray:
     """Bits that each word counts for, by its length alone: results do not depend on how items are cut into blocks."""
     return np.minimum(12.0, 3.0 + 1.5 * np.fromiter(map(len, words), float, len(words)))
@@ -95,12 +133,80 @@ def distance_in(pattern: str, text: str, most: int) -> int:
     return min(least, most + 1)
 
 
+def distances(pairs: list[tuple[str, str]]) -> list[int]:
+    """``distance_in`` of each (pattern, text) without a limit. Pairs of similar size go through the bit-parallel steps
+    together; large pairs and those without enough others like them go alone."""
+    out = [0] * len(pairs)
+    small = [k for k, (p, t) in enumerate(pairs) if 0 < len(p) <= LONGEST[0] and len(t) <= LONGEST[1]]
+    alone = list(set(range(len(pairs))).difference(small))
+    small.sort(key=lambda k: len(pairs[k][1]))
+    while small:
+        most = 64 + len(pairs[small[0]][1]) * 3 // 2
+        size = next((n for n, k in enumerate(small) if n == TOGETHER[1] or len(pairs[k][1]) > most), len(small))
+        if size < TOGETHER[0]:
+            alone += small[:size]
+        else:
+            for k, found in zip(small[:size], steps_together([pairs[k] for k in small[:size]]).tolist()):
+                out[k] = found
+        small = small[size:]
+    for k in alone:
+        out[k] = distance_in(*pairs[k], len(pairs[k][0]))
+    return out
+
+
+def steps_together(pairs: list[tuple[str, str]]) -> np.ndarray:
+    """Distances of several pairs: words of 64 pattern places x pairs, one place of all texts at a time. Texts are padded
+    with what equals nothing, which leaves the least distance as it is."""
+    one, last = np.uint64(1), np.uint64(63)
+    sizes = np.array([len(p) for p, _ in pairs])
+    width, length = (int(sizes.max()) + 63) // 64, max(len(t) for _, t in pairs)
+    known, masks, entries = {}, [np.zeros((1, width), np.uint64)], 1
+    codes = np.zeros((length, len(pairs)), np.int64)
+    for k, (p, t) in enumerate(pairs):
+        if p not in known:
+            chars, which = np.unique(np.frombuffer(p.encode("utf-32-le"), np.int32), return_inverse=True)
+            mask, at = np.zeros((len(chars), width), np.uint64), np.arange(len(p))
+            np.add.at(mask, (which, at >> 6), one << (at & 63).astype(np.uint64))
+            masks.append(mask)
+            known[p], entries = (chars, entries), entries + len(chars)
+        chars, start = known[p]
+        text = np.frombuffer(t.encode("utf-32-le"), np.int32)
+        near = np.minimum(np.searchsorted(chars, text), len(chars) - 1)
+        codes[:len(text), k] = np.where(chars[near] == text, start + near, 0)
+    table = np.ascontiguousarray(np.concatenate(masks).T)
+    up, down = np.full((width, len(pairs)), ~np.uint64(0)), np.zeros((width, len(pairs)), np.uint64)
+    top, bit, cols = (sizes - 1) >> 6, ((sizes - 1) & 63).astype(np.uint64), np.arange(len(pairs))
+    score, least = sizes.copy(), sizes.copy()
+    for code in codes:
+        eq = table.take(code, axis=1)
+        x, h = eq | down, (eq & up) + up
+        carry = (h < up)[:-1]
+        while carry.any():
+            h[1:] += carry
+            carry &= h[1:] == 0
+            carry = np.concatenate((np.zeros((1, len(pairs)), bool), carry[:-1]))
+        h = (h ^ up) | eq
+        plus, minus = down | ~(h | up), up & h
+        score += ((plus[top, cols] >> bit) & one).astype(np.int64) - ((minus[top, cols] >> bit) & one).astype(np.int64)
+        np.minimum(least, score, out=least)
+        rise, fall = plus << one, minus << one
+        rise[1:] |= plus[:-1] >> last
+        fall[1:] |= minus[:-1] >> last
+        up, down = fall | ~(x | rise), rise & x
+    return least
+
+
 class Index:
     """Anchors and sampled notes of a block of items, as sorted arrays, and the short items by their first word."""
 
     def __init__(self, items: list[tuple[int, str]], s: Settings):
         self.s, self.items, self.short = s, [], {}
-        hashes = WordHashes()
+        long = WordHashes()
+
+        def of(words: list[bytes]) -> np.ndarray:
+            data = b" ".join(words)
+            return hashed(data, *split(data), long)
+
         entry, keys, noted, needs = [], [[] for _ in range(s.repetitions)], [[] for _ in range(s.repetitions)], []
         known: dict[bytes, int] = {}
         for item, text in items:
@@ -108,11 +214,12 @@ class Index:
             number = len(self.items)
             if len(words) < s.least_words:
                 if words and s.short_items:
-                    self.short.setdefault(words[0], []).append((number, words))
+                    own = of(words)
+                    self.short.setdefault(int(own[0]), []).append((number, own))
                     self.items.append((item, b" ".join(words).decode(), len(words)))
                     needs.append(0.0)
                 continue
-            h = hashes.of(words)
+            h = of(words)
             at = np.arange(len(words))
             self.items.append((item, b" ".join(words).decode(), len(words)))
             ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
@@ -126,14 +233,16 @@ class Index:
             entry.append(np.stack([np.full(len(at), number), at, ids], axis=1))
         self.entries = np.concatenate(entry) if entry else np.empty((0, 3), np.int64)
         self.needs, self.bits = np.array(needs), weights(list(known))
-        self.anchors = np.unique(hashes.of(list(known)))
+        self.anchors = np.unique(of(list(known)))
+        self.firsts = np.sort(np.array(list(self.short), np.uint64))
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[self.anchors >> np.uint64(64 - TABLE_BITS)] = True
-        self.keys, self.order, self.noted, self.tables = [], [], [], []
+        self.keys, self.first, self.times, self.order, self.noted, self.tables = [], [], [], [], [], []
         for own, words in zip(keys, noted):
             flat = np.concatenate(own) if own else np.empty(0, np.uint64)
             order = np.argsort(flat, kind="stable")
-            self.keys.append(flat[order])
+            for kept, values in zip((self.keys, self.first, self.times), np.unique(flat[order], return_index=True, return_counts=True)):
+                kept.append(values)
             self.order.append(order)
             self.noted.append(np.concatenate(words) if words else np.empty(0, np.int64))
             table = np.zeros(1 << TABLE_BITS, bool)
@@ -150,8 +259,10 @@ class Index:
         last, found = ends[doc[at]] - 1, []
         for r, (key, _) in enumerate(notes(hashes, at, last, self.s)):
             own = np.flatnonzero((key > 0) & self.tables[r][key >> np.uint64(64 - TABLE_BITS)])
-            lo, hi = np.searchsorted(self.keys[r], key[own]), np.searchsorted(self.keys[r], key[own], side="right")
-            times = hi - lo
+            near = np.minimum(np.searchsorted(self.keys[r], key[own]), len(self.keys[r]) - 1)
+            same = self.keys[r][near] == key[own]
+            own, near = own[same], near[same]
+            lo, times = self.first[r][near], self.times[r][near]
             k = np.repeat(np.arange(len(own)), times)
             line = self.order[r][np.arange(len(k)) - np.repeat(np.cumsum(times) - times, times) + lo[k]]
             which, start = self.entries[line], at[own[k]]
@@ -164,31 +275,52 @@ class Index:
         enough = np.zeros(hits.shape[1], bool)
         for shift in (0, NEAR // 2):  # windows whose starts differ by inserted or missing words count together
             place = hits[1] * span + (hits[2] - low + shift) // NEAR
-            _, place = np.unique(place, return_inverse=True)
-            words = np.unique(np.concatenate([place * n + hits[3], place * n + hits[4]]))
-            enough |= np.bincount(words // n, self.bits[words % n])[place] >= self.needs[hits[1]]
+            words = distinct(np.concatenate([place * n + hits[3], place * n + hits[4]]))
+            at = words // n
+            first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+            sums, at = np.add.reduceat(self.bits[words - at * n], first), at[first]
+            good = at[sums >= self.needs[at // span]]
+            if len(good):
+                enough |= good[np.minimum(np.searchsorted(good, place), len(good) - 1)] == place
         return np.unique(hits[:3, enough].T, axis=0)
 
-    def unchanged(self, lists: list[list[bytes]]) -> Iterator[tuple[int, int]]:
-        """(document, item) of the short items whose words stand in a document."""
+    def unchanged(self, hashes: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Short items and the words at which their words begin to stand in a text; ``left`` counts the words of the
+        text from each word on."""
         if not self.short:
             return
-        for d, words in enumerate(lists):
-            hits = {number for w in self.short.keys() & set(words) for number, own in self.short[w]
-                    if any(words[k:k + len(own)] == own for k, x in enumerate(words) if x == w)}
-            for number in sorted(hits):
-                yield d, number
+        near = np.minimum(np.searchsorted(self.firsts, hashes), len(self.firsts) - 1)
+        found = np.flatnonzero(self.firsts[near] == hashes)
+        order = found[np.argsort(hashes[found], kind="stable")]
+        for part in np.split(order, np.flatnonzero(np.diff(hashes[order])) + 1) if len(order) else []:
+            for number, own in self.short[int(hashes[part[0]])]:
+                at = part[left[part] >= len(own)]
+                for k in range(1, len(own)):
+                    at = at[hashes[at + k] == own[k]]
+                yield number, at
 
     def matches(self, texts: list[bytes], hashes: WordHashes) -> Iterator[tuple[int, int, int]]:
-        """(document, item number, distance) of all confirmed pairs, with the smallest distance found."""
-        lists = [t.lower().split() for t in texts]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        starts = np.cumsum(sizes) - sizes
-        flat = hashes.of([w for words in lists for w in words])
+        """(document, item number, distance) of all confirmed pairs, with the smallest distance found. ``hashes`` keeps
+        those of very long words."""
+        data = b"\n".join(texts).lower()
+        begins, ends = split(data)
+        flat = hashed(data, begins, ends, hashes)
+        offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
+        bounds = np.searchsorted(begins, offsets)
+        starts, sizes = bounds[:-1], np.diff(bounds)
+        doc = np.repeat(np.arange(len(texts)), sizes)
+
+        def stretch(a: int, b: int) -> str:
+            return b" ".join(data[x:y] for x, y in zip(begins[a:b].tolist(), ends[a:b].tolist())).decode("utf-8", "replace")
+
         best: dict[tuple[int, int], int] = {}
-        for d, number in self.unchanged(lists):
-            best[d, number] = 0
-        rows = self.candidates(flat, np.repeat(np.arange(len(lists)), sizes), starts + sizes)
+        asked: dict[tuple[str, str], list[tuple[int, int, int]]] = {}
+        for number, at in self.unchanged(flat, bounds[1:][doc] - np.arange(len(flat))):
+            _, text, n = self.items[number]
+            for k in at.tolist():
+                if (doc[k], number) not in best and stretch(k, k + n) == text:
+                    best[int(doc[k]), number] = 0
+        rows = self.candidates(flat, doc, bounds[1:])
         new = np.ones(len(rows), bool)  # neighbouring windows are compared as one
         new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1) | (rows[1:, 2] - rows[:-1, 2] > NEAR)
         tails = np.append(np.flatnonzero(new)[1:], len(rows)) - 1 if len(rows) else []
@@ -197,12 +329,16 @@ class Index:
                 continue
             _, text, n = self.items[item]
             room = 2 + int(n * self.s.errors)
-            begin, end = first - int(starts[d]), final - int(starts[d]) + n
-            most = int(len(text) * self.s.errors)
-            own = b" ".join(lists[d][max(0, begin - room):max(0, end + room)]).decode("utf-8", "replace")
-            found = distance_in(text, own, most)
-            if found <= most:
-                best[d, item] = min(found, best.get((d, item), found))
+            most, low = int(len(text) * self.s.errors), int(starts[d])
+            own = stretch(max(low, first - room), min(low + int(sizes[d]), max(low, final + n + room)))
+            if text in own:
+                best[d, item] = 0
+            else:
+                asked.setdefault((text, own), []).append((d, item, most))
+        for found, askers in zip(distances(list(asked)), asked.values()):
+            for d, item, most in askers:
+                if found <= most:
+                    best[d, item] = min(found, best.get((d, item), found))
         for (d, item), found in best.items():
             yield d, item, found
 
@@ -234,8 +370,8 @@ def matches(docs: DataFrame, items: DataFrame, settings: Settings = Settings(),
     for block in blocks(items, settings, item_col, item_text_col):
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            index, hashes = Index(block, settings), WordHashes()
-            for batch in byte_slices(batches, "text"):
+            index, hashes = Index(block, settings), WordHashes(WORDS)
+            for batch in byte_slices(batches, "text", SLICE_BYTES):
                 found = list(index.matches(raw_texts(batch.column("text")), hashes))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array([d for d, _, _ in found], pa.int64())), pa.array([index.items[i][0] for _, i, _ in found], pa.int64()),
@@ -249,15 +385,15 @@ def matches(docs: DataFrame, items: DataFrame, settings: Settings = Settings(),
 
 def clean(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that contain no item, unchanged."""
+    """The rows of ``docs`` that contain no item, unchanged. The text column must be of type string."""
     for block in blocks(items, settings, item_col, item_text_col):
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            index, hashes = Index(block, settings), WordHashes()
-            for batch in byte_slices(batches, "__text"):
+            index, hashes = Index(block, settings), WordHashes(WORDS)
+            for batch in byte_slices(batches, text_col, SLICE_BYTES):
                 kept = np.ones(batch.num_rows, bool)
-                kept[[d for d, _, _ in index.matches(raw_texts(batch.column("__text")), hashes)]] = False
-                yield batch.filter(pa.array(kept)).drop_columns(["__text"])
+                kept[[d for d, _, _ in index.matches(raw_texts(batch.column(text_col)), hashes)]] = False
+                yield batch.filter(pa.array(kept))
 
-        docs = docs.withColumn("__text", F.col(text_col).cast("string")).mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -14,8 +14,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyridge.llm.tables import ODD, WordHashes, mixed, slices
+from tallyridge.llm.tables import ODD, WordHashes, byte_slices, mixed, slices
+
+SLICE_BYTES = 1 << 20  # of text scored at once inside a worker
+WORDS = 200_000  # whose hashes a worker keeps
 
 WORD = re.compile(r"\w+")
 #: One seed per kind of feature: single words, neighbours, pairs with one and with two words between them.
@@ -132,23 +136,24 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str =
     A null or empty text has no features and gets the score of the bias. Columns of these names are replaced.
     """
     kept = docs.drop("score", "predicted")
+    plain = kept.schema[text_col].dataType == T.StringType()
+    read = text_col if plain else "__text"  # a text of type string is not sent twice
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, hashes = model.dense(), WordHashes()
-        for batch in slices(batches):
-            rows, at = features(batch.column("__text").to_pylist(), hashes, model.bits)
+        weights, hashes = model.dense(), WordHashes(WORDS)
+        for batch in byte_slices(batches, read, SLICE_BYTES):
+            rows, at = features(batch.column(read).to_pylist(), hashes, model.bits)
             used = np.flatnonzero(weights[at])
             pairs = np.unique((rows[used].astype(np.int64) << model.bits) | at[used])
             total = np.bincount(pairs >> model.bits, weights[pairs & ((1 << model.bits) - 1)], batch.num_rows) + model.bias
             p = 1.0 / (1.0 + np.exp(-np.clip(total, -35, 35)))
-            out = batch.drop_columns(["__text"])
+            out = batch if plain else batch.drop_columns([read])
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array(p, pa.float64()), pa.array(p >= threshold).cast(pa.int32())],
                                              [*out.schema.names, "score", "predicted"])
 
-    from pyspark.sql import types as T
-
     schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return kept.withColumn("__text", F.col(text_col).cast("string")).mapInArrow(run, schema)
+    rows = kept if plain else kept.withColumn(read, F.col(text_col).cast("string"))
+    return rows.mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id", buckets: int = 3, chosen: int = 1):

@@ -33,6 +33,14 @@ def test_distance_equals_the_plain_table():
         assert D.distance_in(pattern, text, 2) == min(3, plain_distance(pattern, text))
 
 
+def test_distances_of_many_pairs_equal_those_of_each():
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abé語") for _ in range(n))
+    pairs = [(word(rng.randrange(1, 300)), word(rng.randrange(0, 400))) for _ in range(300)] + [("a" * 128, "a" * 127), ("b" * 1500, "b" * 9), ("ab", "b" * 3000)]
+    pairs += [(p, word(20) + p[:100] + word(3) + p[100:] + word(20)) for p, _ in pairs[:60]]
+    assert D.distances(pairs) == [D.distance_in(p, t, 10**6) for p, t in pairs] and D.distances([]) == []
+
+
 def test_recall_and_precision_against_brute_force(spark):
     rng = random.Random(2)
     items = [(k, passage(rng, rng.randrange(8, 60))) for k in range(60)] + [(99, "a b c"), (98, None), (97, "")]
