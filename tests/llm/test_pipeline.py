@@ -60,5 +60,5 @@ def test_every_stage_takes_effect(spark, corpus):
 
 def test_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert set(entry.oracle_sql()) <= names
