@@ -86,12 +86,12 @@ def notes(hashes: np.ndarray, at: np.ndarray, last: np.ndarray, s: Settings) ->
     """For each repetition the keys (anchor and sampled note) of walks that start at ``at`` and end at ``last``, and the
     places noted. A walk that is still at its anchor, or has left its text, has noted nothing else: its key is zero and
     counts for nothing. ``SAMPLES`` repetitions read one walk."""
-    own = hashes[at] * ODD
+    own, last, first = hashes[at] * ODD, last.astype(np.int32), at.astype(np.int32)
     for r in range(s.repetitions):
         if r % len(SAMPLES) == 0:
-            now, done, turns = at.copy(), 0, mixed(hashes ^ seed(r))
+            now, done, turns = first.copy(), 0, mixed(hashes ^ seed(r)).astype(np.uint16)  # a bit for each step
         for t in range(done, SAMPLES[r % len(SAMPLES)]):
-            now += ((turns[np.minimum(now, last)] >> np.uint64(t)) & np.uint64(1)).astype(np.int64)
+            now += (turns[np.minimum(now, last)] >> np.uint16(t)) & np.uint16(1)
         done = SAMPLES[r % len(SAMPLES)]
         seen = np.minimum(now, last)
         yield np.where((now > at) & (now <= last), mixed(own + hashes[seen]) | np.uint64(1), np.uint64(0)), seen
