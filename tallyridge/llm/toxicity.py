@@ -102,24 +102,26 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     """Fit on the labelled documents (label 0 or 1; other labels and null texts are left out).
 
     The sampled labels are bounded by ``settings.rows_per_class``, so they are broadcast and their documents pass
-    through one task, ``settings.epochs`` times, in an order given by a hash. Without labelled rows the model scores 0.5 everywhere.
+    through one task in an order given by a hash; the task keeps their features for ``settings.epochs`` passes. Without labelled rows the model scores 0.5 everywhere.
     """
     marked = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("__y"))
     chosen = sampled(marked.where("__y IN (0, 1) AND doc_id IS NOT NULL"), "__y", settings.rows_per_class)
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).where("text IS NOT NULL")
     order = F.xxhash64("doc_id", F.lit(29))
     rows = texts.join(F.broadcast(chosen), "doc_id").withColumn("__order", order)
-    train = (rows.withColumn("__epoch", F.explode(F.sequence(F.lit(1), F.lit(settings.epochs))))
-             .repartition(1).sortWithinPartitions("__epoch", "__order", "doc_id", "text", "__y").select("text", "__y"))
+    train = rows.repartition(1).sortWithinPartitions("__order", "doc_id", "text", "__y").select("text", "__y")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner, hashes = Ftrl(settings), WordHashes()
+        learner, hashes, seen = Ftrl(settings), WordHashes(WORDS), []
         for batch in slices(batches, 128):
             rows, at = features(batch.column(0).to_pylist(), hashes, settings.bits)
             order = np.argsort(rows, kind="stable")
             ends = np.searchsorted(rows[order], np.arange(batch.num_rows + 1))
             for k, label in enumerate(batch.column(1).to_pylist()):
-                learner.learn(np.unique(at[order[ends[k]:ends[k + 1]]]), label)
+                seen.append((np.unique(at[order[ends[k]:ends[k + 1]]]).astype(np.int32), label))
+        for _ in range(settings.epochs):
+            for indexes, label in seen:
+                learner.learn(indexes, label)
         w = learner.weights(np.arange(len(learner.z)))
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(w[at], pa.float64())], ["i", "w"])
