@@ -397,7 +397,7 @@ def permuted_columns(df: DataFrame, row: str, columns, seed, suffix: str = "__pe
     long = ranked.select(F.explode(F.array(*moved)).alias("m")).select("m.*")
     types = dict(df.dtypes)
     wide = long.groupBy("to").agg(*[F.max(F.when(F.col("c") == c, F.col("v"))).cast(types[c]).alias(f"{c}{suffix}") for c in columns])
-    return ranked.withColumn("to", F.col("rank") - 1).join(wide, "to").drop("to", "rank", "rank_of")
+    return ranked.withColumn("to", F.col("rank") - 1).hint("merge").join(wide, "to").drop("to", "rank", "rank_of")
 
 
 def permutation_importance(model: Model, df: DataFrame, row: str, columns, repeats: int = 5, label: str = "rides", output: str = "predicted_rides") -> DataFrame:

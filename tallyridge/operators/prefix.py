@@ -27,6 +27,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner")
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def _with_offsets(binned: DataFrame, offsets: DataFrame, keys) -> DataFrame:
+    """Each row with the offsets of its bucket. Rows are shuffled: read from small compressed files, a table can pass for
+    one to broadcast, and then all of it would go through the driver."""
+    return null_safe_join(binned.hint("merge"), offsets, keys)
+
+
 def running_totals(df: DataFrame, by, order, amounts, bucket: Column, descending: bool = False) -> DataFrame:
     """Add ``<name>_cum`` (inclusive running sum) and ``<name>_all`` (group sum).
 
@@ -46,7 +52,7 @@ def running_totals(df: DataFrame, by, order, amounts, bucket: Column, descending
     )
     inside = (Window.partitionBy(*by, "__bin").orderBy(*[direction(o) for o in order])
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = null_safe_join(binned, offsets, [*by, "__bin"])
+    joined = _with_offsets(binned, offsets, [*by, "__bin"])
     for a in amounts:
         joined = joined.withColumn(f"{a}_cum", F.col(f"__off_{a}") + F.sum(a).over(inside))
     return joined.drop("__bin", *[f"__off_{a}" for a in amounts])
@@ -68,7 +74,7 @@ def exact_rank(df: DataFrame, by, order, bucket: Column, name: str = "rank") ->
     )
     inside = Window.partitionBy(*by, "__bin").orderBy(*order)
     return (
-        null_safe_join(binned, offsets, [*by, "__bin"])
+        _with_offsets(binned, offsets, [*by, "__bin"])
         .withColumn(name, F.row_number().over(inside) + F.col("__off"))
         .drop("__bin", "__off")
     )

@@ -51,6 +51,14 @@ def test_permuted_columns_are_permutations(spark):
     assert (out.a == out.a__perm).mean() < 0.2
 
 
+def test_shuffles_send_no_rows_to_the_driver(spark, tmp_path):
+    spark.range(500).select("id", (F.col("id") % 2).alias("y"), (F.col("id") % 3).alias("g")).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))  # far below the limit of a broadcast
+    for made in (L.shuffled_labels(df, "id", "y"), P.stratified_holdout(df, "g", "id", 0.2, 7)):
+        assert "BroadcastExchange" not in made._jdf.queryExecution().executedPlan().toString()
+        assert made.count() == 500
+
+
 def study(spark, n=240):
     rng = np.random.default_rng(4)
     kind = rng.choice(["a", "b", "c"], n)
