@@ -3,20 +3,21 @@
 A forest learns to tell real rows from rows with independently shuffled columns; two
 rows are similar when many trees put them in the same leaf. Only leaf profiles matter,
 so rows are reduced to distinct profiles with counts before anything is compared.
-A query profile meets only those known profiles that an inverted index of (tree, leaf)
-postings cannot rule out of its k best.
+Blocks of profiles are compared tree by tree, and a query keeps its k best of each block.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyridge.operators.boosting import LOCAL_CHECKPOINTS
-from tallyridge.operators.models import SEED, encoders, permuted_columns
+from tallyridge.operators.models import SEED, encoders, held, permuted_columns
 from tallyridge.session import checkpoint_dir
 
 
@@ -30,7 +31,9 @@ def fit_proximity_forest(df: DataFrame, row: str, measures, categories, trees: i
         fake.select(*[F.col(f"{c}__perm").alias(c) for c in columns], F.lit(0).alias("real")))
     forest = RandomForestClassifier(labelCol="real", numTrees=trees, maxDepth=depth, minInstancesPerNode=2,
                                     featureSubsetStrategy="sqrt", seed=SEED, leafCol="leaves")
-    return PipelineModel(stages=[prep, *Pipeline(stages=[*encoders(measures, categories)[1:], forest]).fit(both).stages])
+    with held(both, trees=True) as rows:  # the shuffles run once, and every core grows trees
+        fitted = Pipeline(stages=[*encoders(measures, categories)[1:], forest]).fit(rows)
+    return PipelineModel(stages=[prep, *fitted.stages])
 
 
 def leaf_profiles(model: PipelineModel, df: DataFrame, keep) -> DataFrame:
@@ -39,15 +42,6 @@ def leaf_profiles(model: PipelineModel, df: DataFrame, keep) -> DataFrame:
     return model.transform(df).select(*keep, leaves.alias("profile"))
 
 
-def _postings(profiles: DataFrame, *keep: str) -> DataFrame:
-    """One row per (profile, tree): its leaf."""
-    return profiles.select(*keep, F.posexplode("profile").alias("tree", "leaf"))
-
-
-def _equal_leaves(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, hit: total + hit)
-
-
 def _kth(pairs: DataFrame, k: int) -> DataFrame:
     """(query, floor): equal leaves of the k-th best row found so far; queries with fewer rows are left out."""
     order = Window.partitionBy("query").orderBy(F.desc("matches"), "known")
@@ -56,44 +50,67 @@ def _kth(pairs: DataFrame, k: int) -> DataFrame:
     return few.withColumn("__upto", upto).where(F.col("__upto") >= k).groupBy("query").agg(F.max("matches").alias("floor"))
 
 
+PAIRS_AT_ONCE = 1 << 17  # counters of equal leaves that stay in a core's cache
+
+
+def _best_of_block(k: int):
+    """Pairs of a block of queries and a block of known profiles; a query's pairs below its k-th best row of the block are left out."""
+
+    def run(queries: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        parts = [([], [], [], [])]
+        if len(queries) and len(known):
+            theirs = np.ascontiguousarray(np.stack(known["profile"].to_numpy()).T.astype(np.int32))
+            rows, mine = known["rows"].to_numpy(), np.stack(queries["profile"].to_numpy()).astype(np.int32)
+            small = np.uint16 if max(theirs.max(), mine.max()) < 1 << 16 else np.int32
+            theirs, mine = theirs.astype(small), mine.astype(small)
+            trees, kind = len(theirs), np.uint8 if len(theirs) < 256 else np.uint16
+            step = max(1, PAIRS_AT_ONCE // len(known))
+            for at in range(0, len(mine), step):
+                own = mine[at:at + step]
+                equal = np.zeros((len(own), len(known)), kind)
+                for tree in range(trees):
+                    equal += own[:, tree, None] == theirs[tree]
+                for i, matches in enumerate(equal):
+                    best = np.argpartition(matches, len(matches) - k)[-k:] if len(matches) > k else np.arange(len(matches))
+                    best = best[np.argsort(matches[best])[::-1]]
+                    enough = np.searchsorted(np.cumsum(rows[best]), k)  # every profile stands for a row at least
+                    floor = max(matches[best[enough]], 1) if enough < len(best) else 1
+                    kept = np.flatnonzero(matches >= floor)
+                    parts.append((np.full(len(kept), at + i), kept, matches[kept], np.full(len(kept), trees)))
+        place, other, matches, trees = (np.concatenate(x).astype(np.int64) for x in zip(*parts))
+        return pd.DataFrame({"query": queries["query"].to_numpy()[place], "known": known["known"].to_numpy()[other], "matches": matches, "trees": trees})
+
+    return run
+
+
 def candidates(queries: DataFrame, known: DataFrame, k: int = 30, block_rows: int = 20_000) -> DataFrame:
     """(query, known, matches, trees): every pair of a distinct query profile and a distinct known profile that can be among the
     k most similar rows, with its number of equal leaves and of trees.
 
-    ``queries`` has (query, profile) and ``known`` (known, profile, rows), one row per distinct profile. Known profiles
-    are posted under their (tree, leaf) pairs. A query first meets some profiles of its rarest leaves; the k-th best of
-    these is a number of equal leaves m that its best k surely reach. A profile with m equal leaves shares one of any
-    T - m + 1 of the query's T leaves, so only the postings of that many rarest leaves are opened, and a profile found
-    c times there is compared only if c plus the leaves not opened can reach m. Postings of a hot leaf are dealt over
-    blocks of ``block_rows``, which also bounds what the first look takes from one leaf. Profiles without an equal leaf
-    are nobody's neighbours. The result is exact.
+    ``queries`` has (query, profile) and ``known`` (known, profile, rows), one row per distinct profile. Both are dealt
+    over blocks of about ``block_rows`` and every block of queries meets every block of known profiles in a task of its
+    own, which counts equal leaves tree by tree and hands on a query's best of the block. Work grows with queries times
+    known profiles, memory and the pairs handed on do not. Profiles without an equal leaf are nobody's neighbours. The
+    result is exact.
     """
-    posted = _postings(known, "known", "rows").withColumn("block", F.lit(0))
-    sizes = posted.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("size"))
-    block = F.pmod(F.xxhash64("known"), F.col("blocks")).cast("int")
-    posted = posted.drop("block").join(sizes.select("tree", "leaf", F.ceil(F.col("size") / block_rows).alias("blocks")), ["tree", "leaf"]).withColumn("block", block).drop("blocks")
-    asked = _postings(queries, "query").join(sizes, ["tree", "leaf"], "left").withColumn("size", F.coalesce("size", F.lit(0)))
-    rarest = Window.partitionBy("query").orderBy("size", "tree")  # one row per tree
-    asked = asked.withColumns({"place": F.row_number().over(rarest), "trees": F.count(F.lit(1)).over(Window.partitionBy("query")),
-                               "before": F.coalesce(F.sum("size").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
-    asked = asked.where("size > 0")
-    profiles = known.select("known", "rows", F.col("profile").alias("__known"))
-    own = queries.select("query", F.col("profile").alias("__own"))
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        return pairs.join(own, "query").join(profiles, "known").select(
-            "query", "known", "rows", _equal_leaves("__own", "__known").alias("matches"), F.size("__own").alias("trees"))
-
-    seeds = asked.where(F.col("before") < 4 * k).join(posted.where("block = 0").select("tree", "leaf", "known"), ["tree", "leaf"]).select("query", "known").distinct()
-    floors = _kth(compared(seeds), k)
-    asked = asked.join(floors, "query", "left").withColumn("floor", F.greatest(F.coalesce("floor", F.lit(1)), F.lit(1)))
-    opened = asked.withColumn("opened", F.col("trees") - F.col("floor") + 1).where(F.col("place") <= F.col("opened"))
-    opened = opened.withColumn("block", F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / block_rows).cast("int") - 1)))
-    met = opened.join(posted.select("tree", "leaf", "block", "known"), ["tree", "leaf", "block"]).groupBy("query", "known").agg(
-        F.count(F.lit(1)).alias("found"), F.first("floor").alias("floor"), F.first(F.col("trees") - F.col("opened")).alias("rest"))
-    hopeful = met.where(F.col("found") + F.col("rest") >= F.col("floor"))
-    return compared(hopeful.select("query", "known")).join(floors, "query", "left").where(
-        F.col("matches") >= F.greatest(F.coalesce("floor", F.lit(1)), F.lit(1))).select("query", "known", "matches", "trees")
+    ours, theirs = queries.count(), known.count()
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    sides = max(1, -(-theirs // block_rows))
+    blocks = max(1, -(-ours // block_rows), min(4 * cores // sides, ours // 100))  # small tables use all cores too
+
+    def dealt(df: DataFrame, key: str, own: str, n: int, other: str, times: int) -> DataFrame:
+        df = df.withColumns({own: F.pmod(F.xxhash64(key), F.lit(n)).cast("int"), other: F.explode(F.sequence(F.lit(0), F.lit(times - 1)))})
+        return df.repartition(blocks * sides, "block", "side").groupBy("block", "side")
+
+    pairs = dealt(queries.select("query", "profile"), "query", "block", blocks, "side", sides).cogroup(
+        dealt(known.select("known", "profile", "rows"), "known", "side", sides, "block", blocks)).applyInPandas(
+            _best_of_block(k), "query string, known string, matches int, trees int")
+    if sides == 1:
+        return pairs  # the best of the only block
+    checkpoint_dir(queries.sparkSession, LOCAL_CHECKPOINTS if queries.sparkSession.sparkContext.master.startswith("local[") else None)
+    pairs = pairs.checkpoint()  # read twice, counted once
+    floors = _kth(pairs.join(known.select("known", "rows"), "known"), k)
+    return pairs.join(floors, "query", "left").where(F.col("matches") >= F.coalesce("floor", F.lit(1))).drop("floor")
 
 
 def nearest_values(queries: DataFrame, known: DataFrame, k: int = 30, block_rows: int = 20_000) -> DataFrame:

@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.stat import ChiSquareTest
@@ -157,6 +158,22 @@ def test_few_profiles_are_compared_and_none_is_lost(spark):
             assert got.get((str(i), str(j)), equal[j]) == equal[j] and ((str(i), str(j)) in got or equal[j] < floor)
 
 
+def test_hot_leaves_are_compared_by_blocks_and_every_core_grows_trees(spark, monkeypatch):
+    """With few leaves per tree nearly every profile shares one with every other."""
+    rng = np.random.default_rng(3)
+    known, asked = rng.integers(0, 2, (90, 40)), rng.integers(0, 2, (20, 40))
+    frames = (pd.DataFrame({"query": [str(i) for i in range(20)], "profile": list(asked)}),
+              pd.DataFrame({"known": [str(i) for i in range(90)], "profile": list(known), "rows": 1}))
+    got = X._best_of_block(5)(*frames)
+    equal = (asked[:, None] == known[None]).sum(2)
+    want = {(str(i), str(j)): equal[i, j] for i in range(20) for j in range(90) if equal[i, j] >= np.sort(equal[i])[-5]}
+    assert {(q, k): m for q, k, m, _t in got.itertuples(index=False)} == want
+    seen, held = [], X.held
+    monkeypatch.setattr(X, "held", lambda df, trees=False: seen.append(trees) or held(df, trees))
+    X.fit_proximity_forest(study(spark, 40), "row_id", ["size"], ["kind"], trees=2, depth=2)
+    assert seen == [True]
+
+
 def test_nothing_known_and_no_equal_leaf(spark):
     q = spark.createDataFrame([([1, 2],), ([5, 6],)], "profile array<int>")
     r = spark.createDataFrame([([1, 3], "a"), ([9, 9], "b")], "profile array<int>, value string")
