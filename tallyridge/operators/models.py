@@ -173,6 +173,63 @@ class RidgeRegression(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         return LinearRegression(labelCol=self.getOrDefault(self.label), elasticNetParam=0.0, regParam=weight, standardization=False).fit(dataset)
 
 
+class MeanProbability(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Probability and class of a whole forest from those of its parts, which are dropped."""
+
+    weights = _param("weights", "trees of each part", TypeConverters.toListInt)
+
+    def __init__(self, weights=()):
+        super().__init__()
+        self._set(weights=list(weights))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        weights = self.getOrDefault(self.weights)
+        parts = [F.transform(vector_to_array(part_column(i)), lambda p, w=w: p * w) for i, w in enumerate(weights)]
+        total = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), parts)
+        mean = F.transform(total, lambda x: x / sum(weights))
+        out = dataset.withColumn("__mean", mean).drop(*[part_column(i) for i in range(len(weights))])
+        likeliest = (F.array_position("__mean", F.array_max("__mean")) - 1).cast("double")
+        return out.withColumns({"probability": array_to_vector("__mean"), "prediction": likeliest}).drop("__mean")
+
+
+def part_column(i: int) -> str:
+    return f"__probability_{i}"
+
+
+TREES_PER_PART = 10
+
+
+class ForestClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """A random forest grown as several smaller ones with seeds of their own, side by side.
+
+    Every partition sends statistics of all nodes, and deep forests have millions. So the table is only cut where its size
+    asks for it, and the cores work on different parts. Each tree still learns from a bootstrap of all rows. Fitted, it
+    is a pipeline of the parts and their mean, which can be saved and loaded."""
+
+    trees = _param("trees", "number of trees", TypeConverters.toInt)
+    depth = _param("depth", "levels of splits", TypeConverters.toInt)
+    memory = _param("memory", "MB of statistics per pass", TypeConverters.toInt)
+
+    def __init__(self, numTrees: int = 300, maxDepth: int = 20, maxMemoryInMB: int = 1024):
+        super().__init__()
+        self._set(trees=numTrees, depth=maxDepth, memory=maxMemoryInMB)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        trees, spark = self.getOrDefault(self.trees), dataset.sparkSession
+        shares = [min(TREES_PER_PART, trees - at) for at in range(0, trees, TREES_PER_PART)]
+        cuts = max(1, -(-dataset.count() // ROWS_PER_TASK))
+        with held(dataset.select("features", "y", "weight").repartition(cuts)) as rows:
+
+            def part(i: int) -> Model:
+                return RandomForestClassifier(labelCol="y", weightCol="weight", seed=SEED + i, numTrees=shares[i], maxDepth=self.getOrDefault(self.depth),
+                                              maxMemoryInMB=self.getOrDefault(self.memory), featureSubsetStrategy="sqrt" if trees > 1 else "all",
+                                              rawPredictionCol="", predictionCol="", probabilityCol=part_column(i)).fit(rows)
+
+            with ThreadPool(max(1, min(16, spark.sparkContext.defaultParallelism // cuts))) as pool:
+                parts = pool.map(inheritable_thread_target(spark)(part), range(len(shares)), chunksize=1)
+        return PipelineModel([*parts, MeanProbability(shares)])
+
+
 def operational_regressor(stages, output: str = "predicted_rides") -> Pipeline:
     """The stages and the rules that make their predictions operational; fitted, it can be saved and loaded."""
     return Pipeline(stages=[*stages, Operational("prediction", output)])
@@ -262,7 +319,7 @@ def balanced_weight(df: DataFrame, label: str = "y", name: str = "weight") -> Da
 
 
 CLASSIFIERS: dict[str, Callable[..., Estimator]] = {
-    "random_forest": lambda **k: RandomForestClassifier(labelCol="y", weightCol="weight", seed=SEED, **{"numTrees": 300, "maxDepth": 20, "maxMemoryInMB": 1024, **k}),
+    "random_forest": lambda **k: ForestClassifier(**k),
     "boosted": lambda **k: GBTClassifier(labelCol="y", seed=SEED, **{"maxIter": 200, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, **k}),
     "logistic": lambda **k: LogisticRegression(labelCol="y", weightCol="weight", **{"elasticNetParam": 1.0, "regParam": 0.001, "maxIter": 100, **k}),
     "decision_tree": lambda **k: DecisionTreeClassifier(labelCol="y", weightCol="weight", seed=SEED, **{"maxDepth": 5, **k}),
