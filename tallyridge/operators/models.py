@@ -184,8 +184,11 @@ class MeanProbability(Transformer, DefaultParamsReadable, DefaultParamsWritable)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         weights = self.getOrDefault(self.weights)
-        parts = [F.transform(vector_to_array(part_column(i)), lambda p, w=w: p * w) for i, w in enumerate(weights)]
-        total = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), parts)
+
+        def weighted(column: str, weight: int) -> Column:
+            return F.transform(vector_to_array(column), lambda p: p * weight)
+
+        total = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), [weighted(part_column(i), w) for i, w in enumerate(weights)])
         mean = F.transform(total, lambda x: x / sum(weights))
         out = dataset.withColumn("__mean", mean).drop(*[part_column(i) for i in range(len(weights))])
         likeliest = (F.array_position("__mean", F.array_max("__mean")) - 1).cast("double")
