@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyridge.operators.boosting import LOCAL_CHECKPOINTS
-from tallyridge.operators.models import SEED, dealt_out, encoders, held, permuted_columns
+from tallyridge.operators.models import SEED, encoders, held, permuted_columns
 from tallyridge.session import checkpoint_dir
 
 ROWS_ALONE = 20_000  # up to here a forest is fitted on the partitions there are
@@ -33,9 +33,12 @@ def fit_proximity_forest(df: DataFrame, row: str, measures, categories, trees: i
         fake.select(*[F.col(f"{c}__perm").alias(c) for c in columns], F.lit(0).alias("real")))
     forest = RandomForestClassifier(labelCol="real", numTrees=trees, maxDepth=depth, minInstancesPerNode=2,
                                     featureSubsetStrategy="sqrt", seed=SEED, leafCol="leaves")
-    with held(both) as rows:  # the shuffles run once, and every core grows trees of a large table
-        known = dealt_out(rows) if rows.count() > ROWS_ALONE else rows
-        fitted = Pipeline(stages=[*encoders(measures, categories)[1:], forest]).fit(known)
+    learner = Pipeline(stages=[*encoders(measures, categories)[1:], forest])
+    if 2 * df.count() <= ROWS_ALONE:
+        fitted = learner.fit(both)
+    else:
+        with held(both, trees=True) as rows:  # the shuffles run once, and every core grows trees
+            fitted = learner.fit(rows)
     return PipelineModel(stages=[prep, *fitted.stages])
 
 

@@ -184,12 +184,12 @@ def test_hot_leaves_are_compared_by_blocks_and_every_core_grows_trees(spark, mon
     equal = (asked[:, None] == known[None]).sum(2)
     want = {(str(i), str(j)): equal[i, j] for i in range(20) for j in range(90) if equal[i, j] >= np.sort(equal[i])[-5]}
     assert {(q, k): m for q, k, m, _t in got.itertuples(index=False)} == want
-    seen, dealt_out = [], X.dealt_out
-    monkeypatch.setattr(X, "dealt_out", lambda df: seen.append(df.count()) or dealt_out(df))
+    seen, held = [], X.held
+    monkeypatch.setattr(X, "held", lambda df, trees=False: seen.append((alone, trees)) or held(df, trees))
     for alone in (79, 80):  # 40 rows and their shuffles
         monkeypatch.setattr(X, "ROWS_ALONE", alone)
         X.fit_proximity_forest(study(spark, 40), "row_id", ["size"], ["kind"], trees=2, depth=2)
-    assert seen == [80]
+    assert seen == [(79, True)]
 
 
 def test_nothing_known_and_no_equal_leaf(spark):
