@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyridge.operators import features as E
+from tallyridge.operators import forest
 from tallyridge.operators.boosting import BoostedTrees
 from tallyridge.operators.metrics import cells, rates
 from tallyridge.operators.scoring import operational
@@ -41,7 +42,7 @@ ROWS_PER_TASK = 250_000
 
 def dealt_out(df: DataFrame) -> DataFrame:
     """Rows over at least as many partitions as there are cores: adaptive execution would merge a small table into one
-    partition, and trees are grown by one task per partition."""
+    partition, and trees are grown and rows scored by one task per partition."""
     parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_TASK))
     return df.repartition(parts)
 
@@ -203,11 +204,9 @@ TREES_PER_PART = 10
 
 
 class ForestClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """A random forest grown as several smaller ones with seeds of their own, side by side.
-
-    Every partition sends statistics of all nodes, and deep forests have millions. So the table is only cut where its size
-    asks for it, and the cores work on different parts. Each tree still learns from a bootstrap of all rows. Fitted, it
-    is a pipeline of the parts and their mean, which can be saved and loaded."""
+    """A random forest grown tree by tree: every task holds the binned rows and learns whole trees from bootstraps of them
+    (``operators/forest.py``). Tables too large for that are left to the library, as several smaller forests with seeds of
+    their own, side by side. Fitted, it is a pipeline of parts of the forest and their mean, which can be saved and loaded."""
 
     trees = _param("trees", "number of trees", TypeConverters.toInt)
     depth = _param("depth", "levels of splits", TypeConverters.toInt)
@@ -217,20 +216,29 @@ class ForestClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         super().__init__()
         self._set(trees=numTrees, depth=maxDepth, memory=maxMemoryInMB)
 
+    def _forest(self, trees: int, seed: int, column: str) -> RandomForestClassifier:
+        return RandomForestClassifier(labelCol="y", weightCol="weight", seed=seed, numTrees=trees, maxDepth=self.getOrDefault(self.depth),
+                                      maxMemoryInMB=self.getOrDefault(self.memory), featureSubsetStrategy="sqrt" if self.getOrDefault(self.trees) > 1 else "all",
+                                      rawPredictionCol="", predictionCol="", probabilityCol=column)
+
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        trees, spark = self.getOrDefault(self.trees), dataset.sparkSession
+        trees = self.getOrDefault(self.trees)
         shares = [min(TREES_PER_PART, trees - at) for at in range(0, trees, TREES_PER_PART)]
+        whole = forest.fitted(self._forest(trees, SEED, part_column(0)), dataset)
+        if whole is None:
+            parts = self._by_levels(dataset, shares)
+        else:
+            parts = [part.setProbabilityCol(part_column(i)) for i, part in enumerate(forest.parts_of(whole, shares))]
+        return PipelineModel([*parts, MeanProbability(shares)])
+
+    def _by_levels(self, dataset: DataFrame, shares: list[int]) -> list[Model]:
+        """Every partition sends statistics of all nodes, and deep forests have millions. So the table is only cut where
+        its size asks for it, and the cores work on different parts."""
+        spark = dataset.sparkSession
         cuts = max(1, -(-dataset.count() // ROWS_PER_TASK))
         with held(dataset.select("features", "y", "weight").repartition(cuts)) as rows:
-
-            def part(i: int) -> Model:
-                return RandomForestClassifier(labelCol="y", weightCol="weight", seed=SEED + i, numTrees=shares[i], maxDepth=self.getOrDefault(self.depth),
-                                              maxMemoryInMB=self.getOrDefault(self.memory), featureSubsetStrategy="sqrt" if trees > 1 else "all",
-                                              rawPredictionCol="", predictionCol="", probabilityCol=part_column(i)).fit(rows)
-
             with ThreadPool(max(1, min(16, spark.sparkContext.defaultParallelism // cuts))) as pool:
-                parts = pool.map(inheritable_thread_target(spark)(part), range(len(shares)), chunksize=1)
-        return PipelineModel([*parts, MeanProbability(shares)])
+                return pool.map(inheritable_thread_target(spark)(lambda i: self._forest(shares[i], SEED + i, part_column(i)).fit(rows)), range(len(shares)), chunksize=1)
 
 
 def operational_regressor(stages, output: str = "predicted_rides") -> Pipeline:
