@@ -257,3 +257,38 @@ def test_ridge_query_takes_the_penalty_of_the_grid(spark, monkeypatch):
         errors = {p: L.mean_rmse(L.chronological_cv(known, folds, lambda p=p: ridge(S.FEATURES, p))) for p in (R.PENALTIES[0], 10.0, used[0], R.PENALTIES[-1])}
         few = learning.chosen_penalty(known.where("day < timestamp_ntz'2024-01-16'"), S.FEATURES)
     assert used[0] in R.PENALTIES and min(errors, key=errors.get) == used[0] and few == 10.0
+
+
+@pytest.mark.parametrize("top", [3, 60, 10**6])
+def test_bit_sets_count_equal_leaves_of_all_pairs(monkeypatch, top):
+    """Several parts of known profiles and of queries, hot and rare leaves, leaves nobody has, rows that stand for many."""
+    monkeypatch.setattr(X, "KNOWN_AT_ONCE", 100)
+    monkeypatch.setattr(X, "QUERIES_AT_ONCE", 7)
+    rng = np.random.default_rng(top)
+    known, asked = (rng.integers(0, top, (n, 37)) for n in (330, 40))
+    asked[:30, :20] = known[:30, :20]
+    asked[31] = -5
+    rows = rng.integers(1, 4, len(known))
+    for k in (1, 12, 5000):
+        q, r, m = X._matches(known, asked, rows, k)
+        got = {(int(a), int(b)): int(c) for a, b, c in zip(q, r, m)}
+        equal = (asked[:, None] == known[None]).sum(2)
+        want = {}
+        for i, line in enumerate(equal):
+            order = np.argsort(-line, kind="stable")
+            upto = np.searchsorted(np.cumsum(rows[order]), k)
+            floor = max(line[order[upto]], 1) if upto < len(order) else 1
+            want |= {(i, int(j)): int(line[j]) for j in np.flatnonzero(line >= floor)}
+        assert got == want and len(got) == len(q)
+
+
+def test_larger_proximity_forests_are_grown_whole_in_tasks(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    monkeypatch.setattr(X, "ROWS_ALONE", 10)
+    sizes, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, *a: sizes.append(df.count()) or fit(self, df, *a))
+    model = X.fit_proximity_forest(study(spark), "row_id", ["size"], ["kind"], trees=6, depth=4)
+    assert sizes == [2]  # the library saw one empty row per class, for the form of the model
+    profiles = [r.profile for r in X.leaf_profiles(model, study(spark), ["row_id"]).collect()]
+    assert len(profiles) == 240 and {len(p) for p in profiles} == {6} and len(set(map(tuple, profiles))) > 3
