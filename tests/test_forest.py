@@ -74,3 +74,33 @@ def test_nulls_are_refused(spark):
     df = rows(spark, 20).withColumn("y", F.when(F.col("id") > 3, F.col("y")))
     with pytest.raises(Exception, match="without nulls"):
         T.fitted(RandomForestClassifier(labelCol="y", numTrees=2), df)
+
+
+def test_forest_queries_grow_whole_trees_and_score_on_all_cores(spark, monkeypatch):
+    """A table of one partition: the forest comes from the packed rows, and what is scored is dealt out."""
+    from datetime import datetime, timedelta
+    from types import SimpleNamespace
+
+    from tallyridge.plans import catalog
+
+    hours = [(datetime(2024, 1, 1) + timedelta(hours=i), float(50 + i % 24), "NYC") for i in range(31 * 24)]
+    text = lambda n, c: F.when(F.col("row_id") % 7 > 0, (F.col("row_id") % n).cast("string")).alias(c)
+    items = spark.range(900, numPartitions=1).select(F.col("id").alias("row_id")).select(
+        "row_id", *[(F.col("row_id") * k % 19).cast("double").alias(c) for k, c in ((3, "cap_diameter"), (5, "stem_height"), (7, "stem_width"))],
+        *[text(n, c) for n, c in ((5, "brand"), (3, "kind"), (4, "color"), (2, "has_ring"), (6, "ring_type"))],
+        F.when(F.col("row_id") * 3 % 19 < 9, "p").otherwise("e").alias("label"))
+    v = SimpleNamespace(spark=spark, items=items, hourly=spark.createDataFrame(hours, "timestamp timestamp_ntz, rides double, area string"))
+    monkeypatch.setitem(L.CLASSIFIERS, "random_forest", lambda **k: L.ForestClassifier(**{**k, "numTrees": 5, "maxDepth": 6}))
+    regressor, dealt, grown = L.forest_regressor, L.dealt_out, T.fitted
+    monkeypatch.setattr(L, "forest_regressor", lambda c: regressor(c, 2, 3))
+    seen = []
+    monkeypatch.setattr(L, "dealt_out", lambda df: seen.append("dealt") or dealt(df))
+    monkeypatch.setattr(T, "fitted", lambda *a: seen.append("grown") or grown(*a))
+    facts = catalog._PLANS["model_random_forest_cls"](v).first()
+    assert facts.rows == facts.probabilities == facts.decided > 100 and facts.beats_majority
+    scored = catalog._PLANS["score_batch_classify"](v)
+    assert scored.where("scored AND ranks_well").count() == facts.rows
+    assert seen == ["dealt", "grown", "dealt"] * 2
+    seen.clear()
+    parity = {r.model: (r.rows, r.max_difference, r.unmatched) for r in catalog._PLANS["score_parity"](v).collect()}
+    assert parity["items"] == (900, 0.0, 0) and parity["demand"][1:] == (0.0, 0) and seen == ["dealt"] * 3 + ["grown", "dealt"]
